@@ -1,0 +1,31 @@
+"""Broadcast decisions based on measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_ROWS = 500_000
+MAX_BYTES = 64 * 1024 * 1024
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
+    """Whether `df` is small enough to be copied to every executor.
+
+    Runs a job: counts at most `max_rows + 1` rows and the characters in them.
+    """
+    width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(16))
+    rows, size = (
+        df.limit(max_rows + 1)
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)))
+        .first()
+    )
+    return rows <= max_rows and 2 * size <= max_bytes
+
+
+def filter_join(df: DataFrame, keys: DataFrame, on: str | list[str], how: str) -> DataFrame:
+    """Semi, anti or left join of a wide table with a narrow one.
+
+    The narrow side is broadcast if it was measured to be small; otherwise the join
+    shuffles and adaptive execution splits skewed keys.
+    """
+    return df.join(F.broadcast(keys) if fits_broadcast(keys) else keys, on, how)
