@@ -21,8 +21,9 @@ FILE_NAME_LOWER_LANG = (
 )
 SPLITTER = "#META#Header#End#"
 MS_TAG = r"ms[A-Z]?\p{Nd}+"
-MS_TAG_SPACED = r" *ms[A-Z]?\p{Nd}+"
-MS_TAG_FALLBACK = r" *Milestone300| *ms[A-Z]?\p{Nd}+"
+# The look-behind only keeps long runs of blanks from being searched again and again.
+MS_TAG_SPACED = r"(?<! ) *+ms[A-Z]?\p{Nd}+"
+MS_TAG_FALLBACK = r"(?<! ) *+(?:Milestone300|ms[A-Z]?\p{Nd}+)"
 LEGACY_TAG = "Milestone300"
 # Characters that make a piece of text a countable token (content of a class).
 TOKEN_CLASS = "ء-غـ-ْٰ-ۓ"

@@ -60,8 +60,9 @@ def word_bits(mask: Column, side: int = 1) -> Column:
     # Reduce to: m matched, x not matched, ' ' word boundary of this side.
     plain = F.translate(mask, blanks + others, "  mxx")
     closed = F.when(plain.endswith(" ") | (plain == ""), plain).otherwise(F.concat(plain, F.lit(" ")))
-    broken = F.regexp_replace(closed, "m*x[mx]* ", "0")
-    return F.regexp_replace(broken, "m* ", "1")
+    # Anchored at word starts, so that a long matched word is not searched from every letter.
+    broken = F.regexp_replace(closed, "(?<![mx])m*+x[mx]*+ ", "0")
+    return F.regexp_replace(broken, "m*+ ", "1")
 
 
 def ch_match_of(mask: Column, exclude_spaces: bool = True) -> Column:

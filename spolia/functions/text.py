@@ -69,15 +69,15 @@ def token_count(text: Column, token_class: str = config.TOKEN_CLASS) -> Column:
 
 
 def _relevant_piece(token_class: str) -> str:
-    """Pattern for any irrelevant text followed by one complete relevant piece.
+    """Pattern for a relevant piece from its first token character to its end.
 
-    The piece is entered at its first token character and then finished as a word or
-    as a non-word piece.  Every loop is possessive: no backtracking, constant stack.
+    A word is finished as a word, anything else as a non-word piece.  The loops are
+    possessive: no backtracking, constant stack.
     """
     w = config.WORD_CLASS
     word = f"[{w}&&[{token_class}]][{w}]*+"
     other = f"[[^{w}]&&[{token_class}]][^{w}]*+"
-    return f"[^{token_class}]*+(?:{word}|{other})"
+    return f"(?:{word}|{other})"
 
 
 def relevant_pieces(text: Column, token_class: str = config.TOKEN_CLASS) -> Column:
@@ -93,7 +93,7 @@ def cut_milestones(
     What follows the last full milestone, if anything, forms a shorter last one.  One
     linear regular-expression pass per text: no token rows and no shuffle.
     """
-    full = f"(?:{_relevant_piece(token_class)}){{{ms_len}}}+"
+    full = f"(?:[^{token_class}]*+{_relevant_piece(token_class)}){{{ms_len}}}+"
     return F.regexp_extract_all(text, F.lit(rf"{full}|[\s\S]++"), 0)
 
 

@@ -18,23 +18,25 @@ def parse_uri(name: Column) -> Column:
     `version` is stripped of the part letter; `part` and `ext` are null where absent.
     `series` is the name without author and title, the identifier used downstream.
     """
-    author = F.split_part(name, F.lit("."), F.lit(1))
-    title = F.split_part(name, F.lit("."), F.lit(2))
-    series = F.substring(name, F.length(author) + F.length(title) + 3, F.length(name))
-    stem = F.substring_index(series, "-", 1)
-    lang_ext = F.substring(series, F.length(stem) + 2, F.length(series))
-    has_part = stem.rlike("[A-Z]$")
-    ext = F.regexp_extract(lang_ext, r"\.(mARkdown|completed|inProgress)$", 1)
+    # The pattern of every field, each applied to the name once.
+    patterns = {
+        "author": r"^([^.]*)",
+        "title": r"^[^.]*\.([^.]*)",
+        "book_uri": r"^([^.]*\.[^.]*)",
+        "series": r"^[^.]*\.[^.]*\.(.*)$",
+        "version": r"^[^.]*\.[^.]*\.([^-]*?)[A-Z]?(?:-|$)",
+        "part": r"^[^.]*\.[^.]*\.[^-]*([A-Z])(?:-|$)",
+        "lang": r"^[^-]*-([^.]*)",
+        "ext": r"\.(mARkdown|completed|inProgress)$",
+        "lang_ext": r"^[^-]*-(.*)$",
+    }
+    optional = ("part", "ext")
     return F.struct(
-        author.alias("author"),
-        title.alias("title"),
-        F.concat_ws(".", author, title).alias("book_uri"),
-        series.alias("series"),
-        F.when(has_part, F.left(stem, F.length(stem) - 1)).otherwise(stem).alias("version"),
-        F.when(has_part, F.right(stem, F.lit(1))).alias("part"),
-        F.substring_index(lang_ext, ".", 1).alias("lang"),
-        F.nullif(ext, F.lit("")).alias("ext"),
-        lang_ext.alias("lang_ext"),
+        *[
+            (F.nullif(F.regexp_extract(name, p, 1), F.lit("")) if field in optional
+             else F.regexp_extract(name, p, 1)).alias(field)
+            for field, p in patterns.items()
+        ]
     )
 
 

@@ -42,9 +42,13 @@ def chosen_versions(texts: DataFrame) -> DataFrame:
     )
 
 
-def select_version(texts: DataFrame) -> DataFrame:
-    """Keep one file per version: mARkdown, completed, inProgress, no extension, in this order."""
-    return filter_join(texts, chosen_versions(texts), "file_name", "left_semi")
+def select_version(texts: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """Keep one file per version: mARkdown, completed, inProgress, no extension, in this order.
+
+    `listing` holds the candidates without their content, `texts` itself by default.
+    """
+    chosen = chosen_versions(texts if listing is None else listing)
+    return filter_join(texts, chosen, "file_name", "left_semi")
 
 
 def with_body(texts: DataFrame, splitter: str = config.SPLITTER) -> DataFrame:

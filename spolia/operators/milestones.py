@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from spolia import config
 from spolia.functions import text as txt
-from spolia.operators.sizing import filter_join
 
 VERSION = ["book_uri", "version"]
 
@@ -59,30 +58,47 @@ def assign_milestones(
     )
 
 
-def split_book_starts(texts: DataFrame) -> DataFrame:
-    """First milestone number (minus one) of every file of a split book.
+def number_parts(texts: DataFrame) -> DataFrame:
+    """Where every file of a split book starts: `file_name, start[, unsound]`.
 
     Numbering continues only if every file of the version is a part, separately per
-    language and extension.  Groups hold one row per part letter.
+    language and extension.  `unsound` tells, if `texts` has a `reason`, whether any part of
+    the same book was rejected.  Works on names and counts; a group holds one row per part.
     """
     unsplit = texts.where(F.col("part").isNull()).select(*VERSION).distinct()
-    earlier = (
-        Window.partitionBy(*VERSION, "lang_ext").orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    book = Window.partitionBy(*VERSION, "lang_ext")
+    earlier = book.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
+    checked = "reason" in texts.columns
+    flag = [F.col("reason").isNotNull().alias("bad")] if checked else []
     return (
         texts.where(F.col("part").isNotNull())
-        .select("file_name", *VERSION, "lang_ext", F.size("milestones").cast("bigint").alias("n"))
+        .select("file_name", *VERSION, "lang_ext", F.size("milestones").cast("bigint").alias("n"), *flag)
         .join(unsplit, VERSION, "left_anti")
-        .select("file_name", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+        .select(
+            "file_name",
+            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"),
+            *([F.max("bad").over(book).alias("unsound")] if checked else []),
+        )
     )
 
 
 def continue_numbering(texts: DataFrame) -> DataFrame:
-    """Add `start`, the number of milestones in earlier parts of the same book."""
-    single = texts.where(F.col("part").isNull()).withColumn("start", F.lit(0).cast("bigint"))
-    parts = filter_join(
-        texts.where(F.col("part").isNotNull()), split_book_starts(texts), "file_name", "left"
-    ).withColumn("start", F.coalesce("start", F.lit(0).cast("bigint")))
+    """Add `start`, the number of milestones in earlier parts of the same book.
+
+    Unsplit texts pass through; only the parts of split books are joined with their
+    starts.  An unsound part makes its whole book unsound, since later numbers depend on it.
+    """
+    zero = F.lit(0).cast("bigint")
+    single = texts.where(F.col("part").isNull()).withColumn("start", zero)
+    parts = (
+        texts.where(F.col("part").isNotNull())
+        .join(number_parts(texts), "file_name", "left")
+        .withColumn("start", F.coalesce("start", zero))
+    )
+    if "reason" in texts.columns:
+        parts = parts.withColumn(
+            "reason", F.coalesce("reason", F.when(F.col("unsound"), "other part rejected"))
+        ).drop("unsound")
     return single.unionByName(parts)
 
 
@@ -112,42 +128,28 @@ def check_milestones(
     """Add `reason`: why a text must not be used, null if it is sound.
 
     In order: no splitter, too many tags left after stripping, text damaged by the tags,
-    a label given twice.
+    a label given twice.  The result does not depend on where the numbering starts.
     """
-    labels = F.regexp_extract_all("tagged", F.lit(ms_regex), 0)
-    return texts.withColumn(
-        "reason",
-        F.when(F.col("body").isNull(), "missing splitter")
-        .when(txt.residual_tags(F.col("body"), ms_regex) > max_residual, "remaining tags")
-        .when(F.regexp_replace("tagged", ms_regex, "") != F.col("body"), "text changed")
-        .when(F.size(F.array_distinct(labels)) < F.size(labels), "duplicate labels"),
+    trial = txt.tagged_body(F.col("milestones"), F.col("part"), F.lit(0), F.col("width"))
+    labels = F.regexp_extract_all("_trial", F.lit(ms_regex), 0)
+    return (
+        texts.withColumn("_trial", trial)
+        .withColumn("_labels", labels)
+        .withColumn(
+            "reason",
+            F.when(F.col("body").isNull(), "missing splitter")
+            .when(txt.residual_tags(F.col("body"), ms_regex) > max_residual, "remaining tags")
+            .when(F.regexp_replace("_trial", ms_regex, "") != F.col("body"), "text changed")
+            .when(F.size(F.array_distinct("_labels")) < F.size("_labels"), "duplicate labels"),
+        )
+        .drop("_trial", "_labels")
     )
 
 
 def split_rejects(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sound texts, and `file_name, reason` of the others.
-
-    A split book with one unsound part is rejected as a whole, since the numbers of its
-    later parts would be wrong.
-    """
-    bad = texts.where(F.col("reason").isNotNull())
-    bad_books = (
-        bad.where(F.col("part").isNotNull())
-        .groupBy(*VERSION, "lang_ext")
-        .agg(F.min("file_name").alias("bad_part"))
-    )
-    sound = texts.where(F.col("reason").isNull())
-    sound_parts = sound.where(F.col("part").isNotNull())
-    keys = [*VERSION, "lang_ext"]
-    accepted = sound.where(F.col("part").isNull()).unionByName(
-        filter_join(sound_parts, bad_books.drop("bad_part"), keys, "left_anti")
-    )
-    siblings = (
-        sound_parts.select("file_name", *keys)
-        .join(bad_books, keys)
-        .select("file_name", F.lit("other part rejected").alias("reason"))
-    )
-    return accepted.drop("reason"), bad.select("file_name", "reason").unionByName(siblings)
+    """Sound texts, and `file_name, reason` of the others."""
+    sound = texts.where(F.col("reason").isNull()).drop("reason")
+    return sound, texts.where(F.col("reason").isNotNull()).select("file_name", "reason")
 
 
 def milestoned_files(texts: DataFrame) -> DataFrame:

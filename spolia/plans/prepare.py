@@ -17,10 +17,10 @@ def milestone_texts(
     splitter: str | None = config.SPLITTER,
     max_residual: int = 1,
 ) -> DataFrame:
-    """Cut, number, tag and check texts; unsound ones carry a `reason`."""
+    """Cut, check, number and tag texts; unsound ones carry a `reason`."""
     cut = ms.assign_milestones(ms.prepare_texts(texts, ms_regex, splitter), ms_len, token_class)
-    tagged = ms.rebuild_text(ms.continue_numbering(cut))
-    return ms.check_milestones(tagged, ms_regex or config.MS_TAG_FALLBACK, max_residual)
+    checked = ms.check_milestones(cut, ms_regex or config.MS_TAG_FALLBACK, max_residual)
+    return ms.rebuild_text(ms.continue_numbering(checked))
 
 
 def insert_milestones(
@@ -42,11 +42,21 @@ def insert_milestones(
     return rejects
 
 
-def select_texts(texts: DataFrame, metadata: DataFrame | None, settings: config.CorpusConfig) -> DataFrame:
-    """Primary filter, best version, header cut, parts merged: one row per text."""
+def select_texts(
+    texts: DataFrame,
+    metadata: DataFrame | None,
+    settings: config.CorpusConfig,
+    listing: DataFrame | None = None,
+) -> DataFrame:
+    """Primary filter, best version, header cut, parts merged: one row per text.
+
+    The choice is made on `listing`, the same files without content where that is cheaper
+    to read; the texts follow in one join.
+    """
+    names = texts.drop("value") if listing is None else listing
     if settings.primary_only:
-        texts = corpus.filter_primary(texts, metadata)
-    chosen = corpus.select_version(texts)
+        names = corpus.filter_primary(names, metadata)
+    chosen = corpus.select_version(texts, names)
     return corpus.merge_parts(corpus.with_body(chosen, settings.splitter)).where("body is not null")
 
 
@@ -70,7 +80,12 @@ def export_records(
     The log is written first: it tells what was there before this run.
     """
     metadata = readers.read_metadata(spark, metadata_path) if settings.primary_only else None
-    texts = select_texts(readers.read_texts(spark, in_path, settings.file_name_regex), metadata, settings)
+    texts = select_texts(
+        readers.read_texts(spark, in_path, settings.file_name_regex),
+        metadata,
+        settings,
+        readers.list_texts(spark, in_path, settings.file_name_regex),
+    )
     existing = readers.existing_series(spark, out_path)
     writers.write_log(corpus.corpus_log(texts.drop("body"), existing, settings.overwrite), log_path)
     todo = corpus.skip_existing(texts, existing, settings.overwrite)

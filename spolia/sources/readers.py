@@ -21,6 +21,13 @@ def read_texts(spark: SparkSession, path: str, name_regex: str = config.FILE_NAM
     return with_uri(named)
 
 
+def list_texts(spark: SparkSession, path: str, name_regex: str = config.FILE_NAME) -> DataFrame:
+    """The files of `read_texts` without their content, which is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    named = files.select(F.substring_index("path", "/", -1).alias("file_name"), "path", "length")
+    return with_uri(named.where(F.col("file_name").rlike(name_regex)))
+
+
 def read_metadata(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Tab-separated metadata with a header line, every column as string.
 
