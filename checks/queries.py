@@ -10,6 +10,7 @@ from checks import tables as t
 from spolia.config import CorpusConfig
 from spolia.functions import align, text as txt, uri
 from spolia.operators import alignments as al, bookstats as bs, corpus, milestones as ms, pairwise as pw, records as rec
+from spolia.operators.once import computed_once
 from spolia.plans import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,8 +188,8 @@ def record_chunks(spark, d):
 @query
 def text_records(spark, d):
     """Files to records: primary filter, best version, parts merged, cut, normalised."""
-    tagged = _tagged(spark, d).withColumn("value", t.file_value(F.col("tagged"))).drop("body", "tagged")
-    texts = prepare.select_texts(tagged, t.version_metadata(spark, d), CorpusConfig())
+    tagged = computed_once(_tagged(spark, d), {"value": t.file_value(F.col("tagged"))}).drop("body", "tagged")
+    texts = prepare.select_texts(tagged, t.version_metadata(spark, d), CorpusConfig(), t.corpus_files(spark, d))
     return prepare.text_records(texts, CorpusConfig(include_book_uri=True)).drop("pos")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from spolia import config
 from spolia.functions import align
 from spolia.functions.uri import with_uri
+from spolia.operators.once import computed_once
 
 TOKEN_CLASS = r"\p{L}"
 MS_LEN = 30
@@ -185,26 +186,29 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         | {f"w{s}": F.coalesce(F.sum(_blanks(F.col(f"t{s}"))).over(earlier), F.lit(0)).cast("int") for s in (1, 2)}
         | {f"s{s}": F.rpad(f"t{s}", width, F.lit("-")) for s in (1, 2)}
     )
-    matched = placed.withColumn("matches", align.ch_match(F.col("s1"), F.col("s2"), exclude_spaces=False))
-    per_side = []
+    matches = align.ch_match(F.col("s1"), F.col("s2"), exclude_spaces=False)
+    columns = {}
     for s in (1, 2):
         text, doc_id, series = F.col(f"t{s}"), F.col(f"doc_id{s}"), series_of(F.col(f"source{s}"))
-        per_side += [
-            F.col(f"c{s}").alias(f"b{s}"),
-            (F.col(f"c{s}") + F.length(text)).alias(f"e{s}"),
-            F.col(f"w{s}").alias(f"bw{s}"),
-            (F.col(f"w{s}") + _blanks(text) + 1).alias(f"ew{s}"),
-            doc_id.alias(f"first{s}"),
-            F.substring(f"source{s}", 4, 9).cast("bigint").alias(f"gid{s}"),
-            doc_id.alias(f"uid{s}"),
-            F.concat(series, F.lit(".ms"), (doc_id + 1).cast("string")).alias(f"id{s}"),
-            F.col(f"len{s}"),
-            F.col(f"tok{s}"),
-            (doc_id + 1).cast("int").alias(f"seq{s}"),
-            series.alias(f"series{s}"),
-            F.col(f"s{s}"),
-        ]
-    return matched.select(*per_side, "matches", (F.col("matches") / F.length("s1")).alias("score"))
+        columns |= {
+            f"b{s}": F.col(f"c{s}"),
+            f"e{s}": F.col(f"c{s}") + F.length(text),
+            f"bw{s}": F.col(f"w{s}"),
+            f"ew{s}": F.col(f"w{s}") + _blanks(text) + 1,
+            f"first{s}": doc_id,
+            f"gid{s}": F.substring(f"source{s}", 4, 9).cast("bigint"),
+            f"uid{s}": doc_id,
+            f"id{s}": F.concat(series, F.lit(".ms"), (doc_id + 1).cast("string")),
+            f"len{s}": F.col(f"len{s}"),
+            f"tok{s}": F.col(f"tok{s}"),
+            f"seq{s}": (doc_id + 1).cast("int"),
+            f"series{s}": series,
+            f"s{s}": F.col(f"s{s}"),
+        }
+    # Computed once: the statistics filter and join on many of these columns.
+    return computed_once(placed, columns | {"matches": matches}).select(
+        *columns, "matches", (F.col("matches") / F.length("s1")).alias("score")
+    )
 
 
 def raw_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from spolia import config
 from spolia.functions import text as txt
+from spolia.operators.once import computed_once
 
 VERSION = ["book_uri", "version"]
 
@@ -58,14 +59,15 @@ def assign_milestones(
     )
 
 
-def number_parts(texts: DataFrame) -> DataFrame:
+def number_parts(texts: DataFrame, listing: DataFrame) -> DataFrame:
     """Where every file of a split book starts: `file_name, start[, unsound]`.
 
     Numbering continues only if every file of the version is a part, separately per
     language and extension.  `unsound` tells, if `texts` has a `reason`, whether any part of
     the same book was rejected.  Works on names and counts; a group holds one row per part.
+    `listing` holds the names of all files.
     """
-    unsplit = texts.where(F.col("part").isNull()).select(*VERSION).distinct()
+    unsplit = listing.where(F.col("part").isNull()).select(*VERSION).distinct()
     book = Window.partitionBy(*VERSION, "lang_ext")
     earlier = book.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
     checked = "reason" in texts.columns
@@ -82,17 +84,19 @@ def number_parts(texts: DataFrame) -> DataFrame:
     )
 
 
-def continue_numbering(texts: DataFrame) -> DataFrame:
+def continue_numbering(texts: DataFrame, listing: DataFrame | None = None) -> DataFrame:
     """Add `start`, the number of milestones in earlier parts of the same book.
 
     Unsplit texts pass through; only the parts of split books are joined with their
     starts.  An unsound part makes its whole book unsound, since later numbers depend on it.
+    `listing` gives the names of the same files without the work already planned on them.
     """
+    listing = texts if listing is None else listing
     zero = F.lit(0).cast("bigint")
     single = texts.where(F.col("part").isNull()).withColumn("start", zero)
     parts = (
         texts.where(F.col("part").isNotNull())
-        .join(number_parts(texts), "file_name", "left")
+        .join(number_parts(texts, listing), "file_name", "left")
         .withColumn("start", F.coalesce("start", zero))
     )
     if "reason" in texts.columns:
@@ -132,18 +136,14 @@ def check_milestones(
     """
     trial = txt.tagged_body(F.col("milestones"), F.col("part"), F.lit(0), F.col("width"))
     labels = F.regexp_extract_all("_trial", F.lit(ms_regex), 0)
-    return (
-        texts.withColumn("_trial", trial)
-        .withColumn("_labels", labels)
-        .withColumn(
-            "reason",
-            F.when(F.col("body").isNull(), "missing splitter")
-            .when(txt.residual_tags(F.col("body"), ms_regex) > max_residual, "remaining tags")
-            .when(F.regexp_replace("_trial", ms_regex, "") != F.col("body"), "text changed")
-            .when(F.size(F.array_distinct("_labels")) < F.size("_labels"), "duplicate labels"),
-        )
-        .drop("_trial", "_labels")
+    reason = (
+        F.when(F.col("body").isNull(), "missing splitter")
+        .when(txt.residual_tags(F.col("body"), ms_regex) > max_residual, "remaining tags")
+        .when(F.regexp_replace("_trial", ms_regex, "") != F.col("body"), "text changed")
+        .when(F.size(F.array_distinct("_labels")) < F.size("_labels"), "duplicate labels")
     )
+    tried = texts.withColumn("_trial", trial).withColumn("_labels", labels)
+    return computed_once(tried, {"reason": reason}).drop("_trial", "_labels")
 
 
 def split_rejects(texts: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -20,7 +20,7 @@ def milestone_texts(
     """Cut, check, number and tag texts; unsound ones carry a `reason`."""
     cut = ms.assign_milestones(ms.prepare_texts(texts, ms_regex, splitter), ms_len, token_class)
     checked = ms.check_milestones(cut, ms_regex or config.MS_TAG_FALLBACK, max_residual)
-    return ms.rebuild_text(ms.continue_numbering(checked))
+    return ms.rebuild_text(ms.continue_numbering(checked, texts.drop("value")))
 
 
 def insert_milestones(
