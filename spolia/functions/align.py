@@ -9,12 +9,13 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column
 
-# Mask symbols: m equal, b blank in both, 1 / 2 blank in side 1 / 2 only, x different.
+# Mask symbols: 1 equal, 0 different, ' ' blank in both, p / q blank in side 1 / 2 only.
+# Digits and blanks are what the bit strings below need, so most symbols stay as they are.
 _WORD_BITS = 64
 
 
 def diff_mask(s1: Column, s2: Column, kernel: str = "builtin") -> Column:
-    """One symbol per aligned character: `m`, `b`, `1`, `2` or `x` (see above).
+    """One symbol per aligned character: `1`, `0`, ` `, `p` or `q` (see above).
 
     Null unless both strings have the same length.  `kernel="arrow"` does the comparison
     on whole Arrow batches; it gives the same mask and suits very large alignment tables.
@@ -29,23 +30,24 @@ def diff_mask(s1: Column, s2: Column, kernel: str = "builtin") -> Column:
     symbols = F.zip_with(
         F.split(s1, ""),
         F.split(s2, ""),
-        lambda x, y: F.when(x == y, F.when(x == " ", "b").otherwise("m"))
-        .when(x == " ", "1")
-        .when(y == " ", "2")
-        .otherwise("x"),
+        lambda x, y: F.when(x == y, F.when(x == " ", x).otherwise("1"))
+        .when(x == " ", "p")
+        .when(y == " ", "q")
+        .otherwise("0"),
     )
     # Splitting an empty string gives one empty element, hence the extra branch.
     return F.when(same_length, F.when(s1 == "", "").otherwise(F.array_join(symbols, "")))
 
 
-def _count(mask: Column, others: str) -> Column:
-    """Length of `mask` without the symbols in `others`."""
-    return F.length(F.translate(mask, others, ""))
+def _replace(text: Column, symbols: dict[str, str]) -> Column:
+    for old, new in symbols.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def char_bits(mask: Column) -> Column:
     """`1` where the characters are equal (blanks included), else `0`."""
-    return F.translate(mask, "mb12x", "11000")
+    return _replace(mask, {" ": "1", "p": "0", "q": "0"})
 
 
 def word_bits(mask: Column, side: int = 1) -> Column:
@@ -56,21 +58,20 @@ def word_bits(mask: Column, side: int = 1) -> Column:
     """
     if side not in (1, 2):
         raise ValueError("side must be 1 or 2")
-    blanks, others = ("b1", "m2x") if side == 1 else ("b2", "m1x")
-    # Reduce to: m matched, x not matched, ' ' word boundary of this side.
-    plain = F.translate(mask, blanks + others, "  mxx")
-    closed = F.when(plain.endswith(" ") | (plain == ""), plain).otherwise(F.concat(plain, F.lit(" ")))
+    plain = _replace(mask, {"p": " ", "q": "0"} if side == 1 else {"q": " ", "p": "0"})
+    # Close the last word unless a blank does; an empty alignment has none.
+    closed = F.regexp_replace(plain, "(?<=[01])\\z", " ")
     # Anchored at word starts, so that a long matched word is not searched from every letter.
-    broken = F.regexp_replace(closed, "(?<![mx])m*+x[mx]*+ ", "0")
-    return F.regexp_replace(broken, "m*+ ", "1")
+    broken = F.regexp_replace(closed, "(?<![01])1*+0[01]*+ ", "x")
+    return _replace(F.regexp_replace(broken, "1*+ ", "y"), {"x": "0", "y": "1"})
 
 
 def ch_match_of(mask: Column, exclude_spaces: bool = True) -> Column:
-    return _count(mask, "b12x" if exclude_spaces else "12x")
+    return F.length(F.regexp_replace(mask, "[^1]++" if exclude_spaces else "[^1 ]++", ""))
 
 
 def w_match_of(mask: Column, side: int = 1) -> Column:
-    return _count(word_bits(mask, side), "0")
+    return F.length(F.replace(word_bits(mask, side), F.lit("0"), F.lit("")))
 
 
 def ch_match(s1: Column, s2: Column, exclude_spaces: bool = True, kernel: str = "builtin") -> Column:

@@ -16,11 +16,11 @@ def compare():
             for t in (left_text, right_text)
         )
         equal, blank1, blank2 = left == right, left == 32, right == 32
-        symbols = np.full(left.shape, ord("x"), dtype=np.uint8)
-        symbols[blank1] = ord("1")
-        symbols[blank2] = ord("2")
-        symbols[equal] = ord("m")
-        symbols[equal & blank1] = ord("b")
+        symbols = np.full(left.shape, ord("0"), dtype=np.uint8)
+        symbols[blank1] = ord("p")
+        symbols[blank2] = ord("q")
+        symbols[equal] = ord("1")
+        symbols[equal & blank1] = ord(" ")
         offsets = np.zeros(len(left_text) + 1, dtype=np.int64)
         np.cumsum([len(t) for t in left_text], out=offsets[1:])
         buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(symbols.tobytes())]

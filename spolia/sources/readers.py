@@ -91,8 +91,13 @@ def read_alignments(
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated file with header; known columns get their type, others are strings."""
-    reader = spark.read.options(sep="\t", header=True, multiLine=True, quote='"', escape='"')
+    """Tab-separated file with header; known columns get their type, others are strings.
+
+    A quoted empty field is an empty string; the null marker only has to differ from it.
+    """
+    reader = spark.read.options(
+        sep="\t", header=True, multiLine=True, quote='"', escape='"', nullValue=r"\N"
+    )
     return reader.schema(schemas.typed_schema(reader.csv(path).columns)).csv(path)
 
 
