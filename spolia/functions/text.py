@@ -52,10 +52,17 @@ def residual_tags(text: Column, ms_regex: str | None = config.MS_TAG_SPACED) ->
     return F.greatest(*[F.regexp_count(text, F.lit(kind)) for kind in kinds])
 
 
+def _outside(char_class: str) -> str:
+    """Pattern for one character that is not in a class.
+
+    The JVM evaluates a negated class of several ranges much more slowly than this.
+    """
+    return f"(?:(?![{char_class}])(?s:.))"
+
+
 def tokenize(text: Column) -> Column:
     """Alternating word and non-word pieces; joined they give the text again."""
-    w = config.WORD_CLASS
-    return F.regexp_extract_all(text, F.lit(f"[{w}]+|[^{w}]+"), 0)
+    return F.regexp_extract_all(text, F.lit(f"[{config.WORD_CLASS}]+|{_outside(config.WORD_CLASS)}++"), 0)
 
 
 def token_flag(piece: Column, token_class: str = config.TOKEN_CLASS) -> Column:
@@ -75,8 +82,8 @@ def _relevant_piece(token_class: str) -> str:
     possessive: no backtracking, constant stack.
     """
     w = config.WORD_CLASS
-    word = f"[{w}&&[{token_class}]][{w}]*+"
-    other = f"[[^{w}]&&[{token_class}]][^{w}]*+"
+    word = f"(?=[{w}])[{token_class}][{w}]*+"
+    other = f"(?![{w}])[{token_class}]{_outside(w)}*+"
     return f"(?:{word}|{other})"
 
 
@@ -93,8 +100,8 @@ def cut_milestones(
     What follows the last full milestone, if anything, forms a shorter last one.  One
     linear regular-expression pass per text: no token rows and no shuffle.
     """
-    full = f"(?:[^{token_class}]*+{_relevant_piece(token_class)}){{{ms_len}}}+"
-    return F.regexp_extract_all(text, F.lit(rf"{full}|[\s\S]++"), 0)
+    full = f"(?:{_outside(token_class)}*+{_relevant_piece(token_class)}){{{ms_len}}}+"
+    return F.regexp_extract_all(text, F.lit(f"{full}|(?s:.++)"), 0)
 
 
 def label_width(text: Column, ms_len: int = config.MS_LEN, token_class: str = config.TOKEN_CLASS) -> Column:
@@ -132,7 +139,7 @@ def clean_text(text: Column, extra_map: dict[str, str] | None = None) -> Column:
     alif_forms, alif = "إأٱآ", "ا"
     ya_hamza, seated_hamza = "[يى]ء", "ئ"
     final_forms, final_values = "ىؤئ", "يءء"
-    dropped = f"[[^{config.WORD_CLASS}]a-zA-Z0-9]+"
+    dropped = f"[a-zA-Z0-9[^{config.WORD_CLASS}]]+"
     for source, target in (extra_map or {}).items():
         text = F.replace(text, F.lit(source), F.lit(target))
     text = F.translate(text, alif_forms, alif * len(alif_forms))
