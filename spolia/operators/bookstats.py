@@ -37,12 +37,14 @@ def milestone_offsets(records: DataFrame, mode: str = "inclusive", block: int =
         Window.unboundedPreceding, Window.currentRow
     )
     before = Window.partitionBy("series").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # Stated here so that both uses of `local` have the same plan and share one shuffle.
+    known = "series is not null and block is not null"
     local = records.select(
         "series",
         "seq",
         F.floor(F.col("seq") / F.lit(block)).alias("block"),
         F.length("text").cast("bigint").alias("ch_len"),
-    ).withColumn("local_total", F.sum("ch_len").over(in_block))
+    ).where(known).withColumn("local_total", F.sum("ch_len").over(in_block))
     blocks = (
         local.groupBy("series", "block")
         .agg(F.max("local_total").alias("block_total"))

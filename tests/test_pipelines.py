@@ -271,8 +271,15 @@ def test_offsets_cross_blocks(spark):
         total += len(text)
         want[k] = total
     assert got == want
-    plan = bs.milestone_offsets(df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(series") >= 1
+
+
+def test_offsets_read_records_once(spark, tmp_path):
+    path = str(tmp_path / "records")
+    spark.range(1000).selectExpr("concat('S', id % 3) series", "id seq", "repeat('x', 5) text").write.parquet(path)
+    offsets = bs.milestone_offsets(spark.read.parquet(path))
+    offsets.collect()
+    plan = offsets._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and plan.count("FileScan") == 1
 
 
 def test_broadcast_is_measured(spark):
