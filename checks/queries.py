@@ -10,7 +10,7 @@ from checks import tables as t
 from spolia.config import CorpusConfig
 from spolia.functions import align, text as txt, uri
 from spolia.operators import alignments as al, bookstats as bs, corpus, milestones as ms, pairwise as pw, records as rec
-from spolia.operators.once import computed_once
+from spolia.operators.once import computed_once, exploded
 from spolia.plans import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,7 +117,7 @@ def _cut(spark, d):
 
 @query
 def assign_milestones(spark, d):
-    cut = _cut(spark, d).select("file_name", F.posexplode("milestones").alias("i", "text"))
+    cut = exploded(_cut(spark, d), ["file_name"], "milestones", "i", "text")
     return cut.select(
         "file_name", (F.col("i") + 1).cast("bigint").alias("n"), "text",
         txt.relevant_pieces(F.col("text"), t.TOKEN_CLASS).alias("relevant"),

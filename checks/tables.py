@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from spolia import config
 from spolia.functions import align
 from spolia.functions.uri import with_uri
-from spolia.operators.once import computed_once
+from spolia.operators.once import computed_once, exploded
 
 TOKEN_CLASS = r"\p{L}"
 MS_LEN = 30
@@ -172,7 +172,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     kept = [c for c in heads.columns if c != "lines"]
     lines = (
-        heads.select(*kept, F.posexplode("lines").alias("k", "t"))
+        exploded(heads, kept, "lines", "k", "t")
         .select(*kept, "k", "t.t1", "t.t2")
         .where("t1 is not null and t2 is not null")
     )

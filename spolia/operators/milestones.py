@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from spolia import config
 from spolia.functions import text as txt
-from spolia.operators.once import computed_once
+from spolia.operators.once import computed_once, exploded
 
 VERSION = ["book_uri", "version"]
 
@@ -108,9 +108,8 @@ def continue_numbering(texts: DataFrame, listing: DataFrame | None = None) -> Da
 
 def milestone_rows(texts: DataFrame) -> DataFrame:
     """One row per milestone: `file_name, n, ms_label, text` (n counts from 1 in the file)."""
-    return texts.select(
-        "file_name", "part", "start", "width", F.posexplode("milestones").alias("_i", "text")
-    ).select(
+    kept = ["file_name", "part", "start", "width"]
+    return exploded(texts, kept, "milestones", "_i", "text").select(
         "file_name",
         (F.col("_i") + 1).alias("n"),
         txt.milestone_label(F.col("part"), F.col("start") + F.col("_i") + 1, F.col("width")).alias("ms_label"),
