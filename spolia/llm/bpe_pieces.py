@@ -87,7 +87,10 @@ class PieceCodec:
             ids = [rank] if rank is not None else model.encode(raw.decode("latin-1").translate(table))
             return np.array(ids, "<u4").tobytes()
 
-        self.cache = ChunkCache(pretoken, lambda text: [m.group() for m in cut.finditer(text)], CACHED_CHUNKS)
+        def whole(text: str) -> bytes:
+            return b"".join(pretoken(m.group()) for m in cut.finditer(text))
+
+        self.cache = ChunkCache(pretoken, whole, CACHED_CHUNKS)
 
     def encode(self, text: str) -> bytes:
         return self.cache.encode(text)

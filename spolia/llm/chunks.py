@@ -18,9 +18,10 @@ LAST_PLAIN = "\u2000"  # letters below it are the same in all versions of the ch
 class ChunkCache(dict):
     """Chunk -> ids as little-endian unsigned 32-bit bytes; emptied when `most` entries are reached."""
 
-    def __init__(self, pretoken: Callable[[str], bytes], split: Callable[[str], list[str]], most: int) -> None:
+    def __init__(self, pretoken: Callable[[str], bytes], whole: Callable[[str], bytes], most: int) -> None:
+        """`pretoken` encodes one pre-token, `whole` any text."""
         super().__init__()
-        self.pretoken, self.split, self.most = pretoken, split, most
+        self.pretoken, self.whole, self.most = pretoken, whole, most
 
     def __missing__(self, chunk: str) -> bytes:
         word = chunk[chunk[0] == " " :]
@@ -30,7 +31,7 @@ class ChunkCache(dict):
         elif plain and word[-1:] in PLAIN_END and word[:-1].isalpha():
             ids = self[chunk[:-1]] + self[chunk[-1]]
         else:
-            ids = b"".join(map(self.pretoken, self.split(chunk)))
+            ids = self.whole(chunk)
         if len(chunk) <= 64:
             if len(self) >= self.most:
                 self.clear()
@@ -41,7 +42,7 @@ class ChunkCache(dict):
         if not text:
             return b""
         if _RUN.search(text):
-            return b"".join(map(self.pretoken, self.split(text)))
+            return self.whole(text)
         first, *rest = text.split(" ")
         return b"".join(map(self.__getitem__, [first, *[" " + x for x in rest]]))
 
