@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spolia.llm import bpe_pieces, token_files
+from spolia.llm import bpe_pieces, mixing, token_files
 from spolia.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "shards")
     token_files.write_shards(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
@@ -23,5 +27,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_pieces.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op7_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op4_mixing, op7_token_files, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
