@@ -20,10 +20,10 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spolia.llm.chunks import ChunkCache, byte_letters
+from spolia.llm.chunks import ChunkCache, byte_letters, packed
 from spolia.llm.common import filled, map_arrow
 
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 400_000
 
 # Field numbers and kinds of the sentencepiece model format.
 _VARINT, _BYTES, _FLOAT = 0, 2, 5
@@ -85,7 +85,7 @@ class PieceCodec:
             raw = piece.encode()
             rank = self.whole.get(raw)  # a pre-token that is a token needs no merges
             ids = [rank] if rank is not None else model.encode(raw.decode("latin-1").translate(table))
-            return np.array(ids, "<u4").tobytes()
+            return packed(ids)
 
         def whole(text: str) -> bytes:
             return b"".join(pretoken(m.group()) for m in cut.finditer(text))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spolia.llm import bpe_pieces, mixing, token_files
+from spolia.llm import bpe_pieces, mixing, token_files, toxicity
 from spolia.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -22,10 +22,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path).withColumnRenamed("key", "doc_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     return bpe_pieces.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op7_token_files, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op4_mixing, op7_token_files, op9_toxicity, op10_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}

@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spolia.llm.chunks import ChunkCache, byte_letters
+from spolia.llm.chunks import ChunkCache, byte_letters, byte_names, packed
 from spolia.llm.common import filled, map_arrow, slices
 from spolia.llm.elias_fano import EliasFano
 
-CACHED_CHUNKS = 700_000
+CACHED_CHUNKS = 400_000
 SHARD_IDS = 4_000_000  # a shard is closed when it has this many ids
 SHARD = "part int, seq int, n_docs bigint, n_ids bigint, width int, ids binary, bounds binary, keys array<{key}>"
 
@@ -41,7 +41,7 @@ class TokenEncoder:
         self.size = tokenizer.get_vocab_size()
 
         def whole(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return packed(tokenizer.encode(text, add_special_tokens=False).ids)
 
         cut = spec.get("pre_tokenizer") or {}
         byte_level = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
@@ -49,8 +49,7 @@ class TokenEncoder:
             merge, table = tokenizer.model.tokenize, dict(enumerate(byte_letters()))
 
             def pretoken(piece: str) -> bytes:
-                tokens = merge(piece.encode().decode("latin-1").translate(table))
-                return np.array([t.id for t in tokens], "<u4").tobytes()
+                return packed([t.id for t in merge(byte_names(piece, table))])
 
             self.encode = ChunkCache(pretoken, whole, CACHED_CHUNKS).encode
         else:
