@@ -4,8 +4,8 @@ One model of toxic and one of ordinary text give each word's log-likelihood, let
 of them, within the word).  Counts of ORDER bytes are discounted per class and interpolated with continuation
 counts of shorter ones; the shortest orders are counted over both classes together, so expressions that are rare
 in either class fall back to the same probabilities and decide nothing.  The difference of the two
-log-likelihoods is normalised by length (whole text, square root of the length, best window of WINDOW words);
-a logistic regression on rows that the counts have not seen turns that into a score.
+log-likelihoods is normalised by length (of the whole text, by the square root of it, and over the one and the TOP
+most telling words, so that a few words in a very long text still count); a logistic regression on rows that the counts have not seen turns that into a score.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ from spolia.llm.common import LOWER, UPPER, filled, slices
 
 ORDER = 6
 SHARED_ORDERS = 2
-DISCOUNT = 0.9
-WINDOW = 32
+DISCOUNT = 2.0
+TOP = 4
+FEATURES = 4
 ROWS_PER_CLASS = 4000  # at most so many labelled rows of each class train the model
 CACHED_WORDS = 500_000
 START, END = b"\x02", b"\x03"
@@ -95,7 +96,7 @@ class ClassModels:
             own = np.maximum(sums - DISCOUNT, 0) / _look_up(contexts, totals, keys >> np.uint64(8), 1.0)
             back = np.where(of_context[:, :2] > 0, of_context[:, 2:] / totals, 1.0)
             levels.append(((keys, own), (contexts, back)))
-        model = cls(levels[::-1], np.zeros(0, np.uint64), np.zeros(0), np.zeros(4))
+        model = cls(levels[::-1], np.zeros(0, np.uint64), np.zeros(0), np.zeros(FEATURES + 1))
         model.known, model.known_ratio = known, model._ratio(known)
         return model
 
@@ -121,16 +122,16 @@ class ClassModels:
     def features(self, ratios: np.ndarray) -> np.ndarray:
         n = len(ratios)
         if not n:
-            return np.zeros(3)
-        sums = np.concatenate([[0.0], np.cumsum(ratios)])
-        best = (sums[WINDOW:] - sums[:-WINDOW]).max() if n >= WINDOW else sums[-1]
-        return np.array([sums[-1] / n, sums[-1] / np.sqrt(n), best / WINDOW * 4])
+            return np.zeros(FEATURES)
+        top = np.sort(np.partition(ratios, n - TOP)[n - TOP :] if n > TOP else ratios)
+        total = ratios.sum()
+        return np.array([total / n, total / np.sqrt(n), top[-1] / 2, top.sum() / (2 * TOP)])
 
     def fit(self, features: np.ndarray, labels: np.ndarray, rounds: int = 30) -> None:
         """Ridge logistic regression by Newton steps."""
         x = np.hstack([features, np.ones((len(features), 1))])
-        ridge = np.diag([1e-2] * 3 + [1e-6])
-        w = np.zeros(4)
+        ridge = np.diag([1e-2] * FEATURES + [1e-6])
+        w = np.zeros(FEATURES + 1)
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (p - labels) + ridge @ w)
@@ -140,7 +141,7 @@ class ClassModels:
         self.weights = w
 
     def probability(self, features: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(features @ self.weights[:3] + self.weights[3], -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(features @ self.weights[:-1] + self.weights[-1], -30, 30))))
 
 
 class Scorer:
@@ -200,23 +201,23 @@ def train(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PE
     model = ClassModels.count(table["word"].to_pylist(), sums)
 
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    names = ["toxic", *[f"f{k}" for k in range(FEATURES)]]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Scorer(shared.value)
         for piece in slices(batches, "text", 1 << 20):
             found = of.features([x.encode() for x in piece.column(1).to_pylist()])
-            yield pa.record_batch([piece.column(0), *[pa.array([f[k] for f in found], pa.float64()) for k in range(3)]],
-                                  ["toxic", "f0", "f1", "f2"])
+            yield pa.record_batch([piece.column(0), *[pa.array([f[k] for f in found], pa.float64()) for k in range(FEATURES)]], names)
 
     rest = rows.where("not counted").select("toxic", "text")
-    table = rest.mapInArrow(measure, "toxic int, f0 double, f1 double, f2 double").toArrow()
-    features = np.stack([table[f"f{k}"].to_numpy() for k in range(3)], axis=1)
+    table = rest.mapInArrow(measure, "toxic int, " + ", ".join(f"{c} double" for c in names[1:])).toArrow()
+    features = np.stack([table[c].to_numpy() for c in names[1:]], axis=1)
     toxic = table["toxic"].to_numpy().astype(float)
     order = np.lexsort([*features.T, toxic])
     if len(set(toxic.tolist())) == 2:
         model.fit(features[order], toxic[order])
     else:
-        model.weights[3] = 2.0 if len(toxic) and toxic.all() else -2.0
+        model.weights[-1] = 2.0 if len(toxic) and toxic.all() else -2.0
     return model
 
 
