@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spolia.llm import bpe_pieces, mixing, token_files, toxicity
+from spolia.llm import bpe_pieces, grid_join, mixing, token_files, toxicity
 from spolia.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -22,6 +22,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path).withColumnRenamed("key", "doc_id")
 
 
+def op8_embedding_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.links(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,5 +35,21 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_pieces.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op7_token_files, op9_toxicity, op10_byte_bpe)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op4_mixing, op7_token_files, op8_embedding_grid_join, op9_toxicity, op10_byte_bpe)}
+ORACLE_SQL = {
+    "op8_embedding_grid_join": """
+        with recursive v as (
+            select vec_id, list_transform(embedding, x -> x::double) e from embeddings
+            where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+        ), u as (select vec_id, e, sqrt(list_inner_product(e, e)) r from v where list_inner_product(e, e) > 0),
+        links as materialized (
+            select a.vec_id a, b.vec_id b from u a join u b
+            on a.vec_id <> b.vec_id and list_inner_product(a.e, b.e) >= 0.95 * a.r * b.r
+        ), reach(a, b) as (
+            select vec_id, vec_id from embeddings union select r.a, l.b from reach r join links l on r.b = l.a
+        ), low as (select a vec_id, min(b) component_id from reach group by a),
+        n as (select a vec_id, count(*) n_links from links group by a)
+        select vec_id, coalesce(n_links, 0) n_links, component_id, vec_id = component_id as kept
+        from low left join n using (vec_id)
+    """,
+}
