@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spolia.llm import bpe_pieces, grid_join, mixing, token_files, toxicity
+from spolia.llm import bpe_pieces, fingerprints, grid_join, mixing, token_files, toxicity
 from spolia.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -16,6 +16,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "shards")
     token_files.write_shards(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
@@ -35,12 +39,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_pieces.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op7_token_files, op8_embedding_grid_join, op9_toxicity, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op4_mixing, op6_fingerprints, op7_token_files, op8_embedding_grid_join, op9_toxicity, op10_byte_bpe)}
 ORACLE_SQL = {
     "op8_embedding_grid_join": """
         with recursive v as (
-            select vec_id, list_transform(embedding, x -> x::double) e from embeddings
-            where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+            select vec_id, list_transform(embedding, lambda x: x::double) e from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ), u as (select vec_id, e, sqrt(list_inner_product(e, e)) r from v where list_inner_product(e, e) > 0),
         links as materialized (
             select a.vec_id a, b.vec_id b from u a join u b
