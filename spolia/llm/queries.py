@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spolia.llm import bpe_pieces, fingerprints, grid_join, mixing, token_files, toxicity
+from spolia.llm import bpe_pieces, fingerprints, grid_join, mixing, secret_links, token_files, toxicity
 from spolia.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_links.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_pieces.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op6_fingerprints, op7_token_files, op8_embedding_grid_join, op9_toxicity, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_secret_links, op4_mixing, op6_fingerprints, op7_token_files, op8_embedding_grid_join, op9_toxicity, op10_byte_bpe)}
 ORACLE_SQL = {
     "op8_embedding_grid_join": """
         with recursive v as (
