@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +31,17 @@ def components(links: DataFrame) -> DataFrame:
         parents = edges.select(F.col("b").alias("a")).distinct()
         if edges.join(parents, "a", "left_semi").isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(parents.select("a", "a"))
+
+
+def roots(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index of each index's component under the links (a, b)."""
+    while True:
+        pa_, pb = parent[a], parent[b]
+        low = np.minimum(pa_, pb)
+        before = parent.copy()
+        np.minimum.at(parent, pa_, low)
+        np.minimum.at(parent, pb, low)
+        while (jump := parent[parent] != parent).any():
+            parent[jump] = parent[parent[jump]]
+        if (parent == before).all():
+            return parent

@@ -18,8 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spolia.llm.common import written
-from spolia.llm.components import components
+from spolia.llm.common import batch_rows, written
+from spolia.llm.components import components, roots
 
 DIRECTIONS = 10  # leading principal directions of the grid
 SORTED_BY = 4  # of them, those that the cells are sorted by
@@ -147,20 +147,6 @@ def _open(one: tuple[int, int], two: tuple[int, int], at: np.ndarray, epsilon: f
             yield from _open(p, q, at, epsilon, same)
 
 
-def roots(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest index of each index's component under the links (a, b)."""
-    while True:
-        pa_, pb = parent[a], parent[b]
-        low = np.minimum(pa_, pb)
-        before = parent.copy()
-        np.minimum.at(parent, pa_, low)
-        np.minimum.at(parent, pb, low)
-        while (jump := parent[parent] != parent).any():
-            parent[jump] = parent[parent[jump]]
-        if (parent == before).all():
-            return parent
-
-
 def compare(x: np.ndarray, counts: np.ndarray, split: int, directions: np.ndarray, cosine: float, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
     """Links (weighted by counts) of each vector, and its local component; `split` > 0: only links across it."""
     u = unit(x)
@@ -215,7 +201,8 @@ def links(df: DataFrame, cosine: float = 0.95, key: str = "vec_id", vector: str
 
     joined = pairs.join(sides[0], F.col("i") == F.col("rank_i")).join(sides[1], F.col("j") == F.col("rank_j"))
     joined = joined.select("i", "j", "reps_i", "counts_i", "data_i", "reps_j", "counts_j", "data_j")
-    linked = written(joined.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
+    with batch_rows(df.sparkSession, 8):
+        linked = written(joined.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
     of_rep = distinct.select("h1", "h2", "rep", (F.col("n") - 1).alias("equal"))
     of_rep = of_rep.join(linked.groupBy("rep").agg(F.sum("n").alias("others")), "rep", "left")
     of_rep = of_rep.join(components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "rep"), "rep", "left")
