@@ -136,8 +136,7 @@ def decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataF
     return out.select(F.col("key").alias(key), "ids", "n_tokens", "decoded")
 
 
-def digest(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Per document: number of ids, checksum of the ids, checksum of the decoded bytes."""
-    return decode(encode(df, path, pattern), path, pattern).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+def digest(df: DataFrame, path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
+    """Per document: number of ids, checksum of the ids, checksum of the decoded bytes; on request the ids too."""
+    sums = [F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
+    return decode(encode(df, path, pattern), path, pattern).select("doc_id", "n_tokens", *sums, *["ids"] * keep_ids)

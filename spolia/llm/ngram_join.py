@@ -12,7 +12,7 @@ pairs are ever listed as rows, only groups are paired.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -57,27 +57,23 @@ def parts_of(tokens: np.ndarray, near: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, _U)
 
 
-def token_sets(texts: list[bytes]) -> list[np.ndarray]:
+def token_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
     """Distinct shingles of each text (words lower-cased in A-Z), in order."""
-    hashes, bounds = shingle_hashes(*joined(texts), SHINGLE, lower=True)
+    hashes, bounds = shingle_hashes(*joined(texts), shingle, lower=True)
     return [np.unique(hashes[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
-def sets_of(df: DataFrame, key: str, near: int) -> DataFrame:
-    """`key`, `n`, `s1`, `s2` (two hashes of the set) and `parts` of every row."""
+def sets_of(df: DataFrame, key: str, shingle: int) -> DataFrame:
+    """`key`, `n`, `s1`, `s2` (two hashes of the set) of every row."""
     rows = df.select(F.col(key).cast("bigint").alias("key"), filled().alias("text"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = token_sets([t.encode() for t in batch.column(1).to_pylist()])
-        parts = [parts_of(s, near).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-        sums = [[(mix(s ^ _U(salt)).sum(dtype=_U) + _U(len(s))).astype(np.int64) for s in sets] for salt in (0x51, 0xA7)]
-        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-        values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
-        return pa.record_batch(
-            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(x, pa.int64()) for x in sums],
-             pa.ListArray.from_arrays(pa.array(offsets), values)], ["key", "n", "s1", "s2", "parts"])
+        sets = token_sets([t.encode() for t in batch.column(1).to_pylist()], shingle)
+        sums = [[int((mix(s ^ _U(salt)).sum(dtype=_U) + _U(len(s))).astype(np.int64)) for s in sets] for salt in (0x51, 0xA7)]
+        columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(x, pa.int64()) for x in sums]]
+        return pa.record_batch(columns, ["key", "n", "s1", "s2"])
 
-    return map_arrow(rows, work, "key bigint, n bigint, s1 bigint, s2 bigint, parts array<bigint>", most_bytes=1 << 20)
+    return map_arrow(rows, work, "key bigint, n bigint, s1 bigint, s2 bigint", most_bytes=1 << 20)
 
 
 def _filter_bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,8 +81,12 @@ def _filter_bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h % _U(FILTER_WORDS)).astype(np.int64), _U(1) << ((h >> _U(32)) & _U(63))
 
 
-def candidate_tokens(df: DataFrame, key: str, reps: DataFrame) -> DataFrame:
-    """`key`, `tokens` of the rows whose key is in `reps` and of few others: a filter of fixed size is sent to the texts."""
+def likely(df: DataFrame, key: str, reps: DataFrame, shingle: int, work: Callable, schema: str) -> DataFrame:
+    """`work(key, tokens)` of the rows whose key is in `reps` and of some others.
+
+    A filter of FILTER_WORDS words, whatever the number of keys, spares most other texts the work and the shuffle.
+    It lets rows through that are not in `reps` (all of them, if it is full), so a join must follow.
+    """
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,15 +99,34 @@ def candidate_tokens(df: DataFrame, key: str, reps: DataFrame) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(table)
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("key"), filled().alias("text"))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text", 4 << 20):
             where, bit = _filter_bits(piece.column(0).to_numpy())
             piece = piece.filter(pa.array(shared.value[where] & bit != 0))
             for part in slices(iter([piece]), "text", 1 << 20):
-                sets = token_sets([t.encode() for t in part.column(1).to_pylist()])
-                yield pa.record_batch([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "tokens"])
+                yield work(part.column(0), token_sets([t.encode() for t in part.column(1).to_pylist()], shingle))
+
+    return rows.mapInArrow(each, schema)
+
+
+def part_rows(df: DataFrame, key: str, reps: DataFrame, shingle: int, near: int) -> DataFrame:
+    """`part`, `rep`: a row for each part of each set."""
+
+    def work(keys: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        parts = [parts_of(s, near) if len(s) else np.zeros(0, _U) for s in sets]
+        owners = np.repeat(keys.to_numpy(), [len(p) for p in parts])
+        return pa.record_batch([pa.array(np.concatenate(parts).view(np.int64)), pa.array(owners)], ["part", "rep"])
+
+    return likely(df, key, reps, shingle, work, "part bigint, rep bigint")
+
+
+def candidate_tokens(df: DataFrame, key: str, reps: DataFrame, shingle: int) -> DataFrame:
+    """`key`, `tokens` of the rows whose key is in `reps` and of some others."""
+
+    def work(keys: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.record_batch([keys, pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "tokens"])
 
-    return rows.mapInArrow(work, "key bigint, tokens binary")
+    return likely(df, key, reps, shingle, work, "key bigint, tokens binary")
 
 
 def open_group(queries: list[np.ndarray], group: list[np.ndarray], near: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -132,9 +151,9 @@ def open_group(queries: list[np.ndarray], group: list[np.ndarray], near: int) ->
             yield k, similar
 
 
-def linked_sets(df: DataFrame, reps: DataFrame, key: str, near: int) -> DataFrame:
-    """`rep`, `n` (similar rows with other sets), `low` (a set of the same component) from `rep`, `copies`, `parts`."""
-    parts = reps.where(F.size("parts") > 0).select("rep", F.explode("parts").alias("part")).repartition("part")
+def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: int) -> DataFrame:
+    """`rep`, `n` (similar rows with other sets), `low` (a set of the same component) from `rep`, `copies`."""
+    parts = part_rows(df, key, reps, shingle, near).repartition("part")
     shared = parts.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1")
     shared = written(parts.join(shared.select("part", "hub"), "part"), "parts")
     member = shared.groupBy("rep").agg(F.min("hub").alias("hub"))
@@ -144,7 +163,7 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, near: int) -> DataFram
     member = written(member.join(reps.select("rep", "copies"), "rep"), "members")
     columns = shared.join(member.select("rep", "grp"), "rep").select("part", "grp").distinct()
     pairs = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp <= other").select("grp", "other").distinct()
-    tokens = candidate_tokens(df, key, member).dropDuplicates(["key"])
+    tokens = candidate_tokens(df, key, member, shingle).dropDuplicates(["key"])
     groups = member.join(tokens, F.col("rep") == F.col("key")).groupBy("grp")
     groups = written(groups.agg(F.collect_list(F.struct("rep", "copies", "tokens")).alias("sets")), "groups")
 
@@ -180,18 +199,17 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, near: int) -> DataFram
         return written(met.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
 
 
-def join(df: DataFrame, key: str = "doc_id", near: int = NEAR) -> DataFrame:
+def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int = NEAR) -> DataFrame:
     """`key`, `n_shingles`, `n_links` (other rows that link directly), `component_id` of every row.
 
     Rows with the same set link with each other.  Null or empty texts have an empty set and link with nothing;
     a null key has no component but its own (null) and takes part in none; rows with equal keys and different texts are
     rows of their own, and a component is named by its smallest key.  An empty table gives an empty result.
     """
-    sets = written(sets_of(df, key, near), "sets")
+    sets = written(sets_of(df, key, shingle), "sets")
     linkable = sets.where("n > 0 and key is not null")
-    reps = linkable.groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("parts").alias("parts"))
-    linked = linked_sets(df, reps.select("rep", "copies", "parts"), key, near)
     of_set = linkable.groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
+    linked = linked_sets(df, of_set.select("rep", "copies"), key, shingle, near)
     of_set = of_set.join(linked.groupBy("rep").agg(F.sum("n").alias("others")), "rep", "left")
     named = components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b")))
     of_set = of_set.join(named.withColumnRenamed("node", "rep"), "rep", "left")
@@ -204,7 +222,7 @@ def join(df: DataFrame, key: str = "doc_id", near: int = NEAR) -> DataFrame:
         F.coalesce("component_id", "key").alias("component_id"))
 
 
-def one_of_each(df: DataFrame, columns: tuple[str, ...], key: str = "doc_id") -> DataFrame:
+def one_of_each(df: DataFrame, columns: tuple[str, ...], shingle: int, near: int, key: str = "doc_id") -> DataFrame:
     """The rows that name their component (the smallest key of each group of near copies), rows without links included."""
-    dropped = join(df, key).where(F.col(key) != F.col("component_id")).select(key).distinct()
+    dropped = join(df, key, shingle, near).where(F.col(key) != F.col("component_id")).select(key).distinct()
     return df.join(dropped, key, "left_anti").select(*columns)

@@ -8,11 +8,11 @@ from spolia.llm import ngram_join as N
 from spolia.llm.components import components
 
 
-def brute(rows):
+def brute(rows, near=90, n=3):
     sets = []
     for key, text in rows:
         w = [x.decode() for x in (text or "").encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")).split()]
-        sets.append({tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set())
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set())
     parent = list(range(len(rows)))
 
     def root(x):
@@ -25,7 +25,7 @@ def brute(rows):
         for b in range(a):
             if sets[a] and sets[b] and None not in (rows[a][0], rows[b][0]):
                 both = len(sets[a] & sets[b])
-                if 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+                if 100 * both >= near * (len(sets[a]) + len(sets[b]) - both):
                     links[a] += 1
                     links[b] += 1
                     parent[root(a)] = root(b)
@@ -62,6 +62,8 @@ def test_all_links(spark, monkeypatch, seed, group):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("parts", F.lit("clash")).repartition(4)
     got = N.join(df).collect()
     assert sorted((str(r.doc_id), r.n_shingles, r.n_links, str(r.component_id)) for r in got) == brute(rows)
+    got = N.join(df, shingle=5, near=80).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, r.n_links, str(r.component_id)) for r in got) == brute(rows, 80, 5)
 
 
 def test_size_classes():
@@ -75,7 +77,7 @@ def test_small_tables(spark):
     df = spark.createDataFrame([(3, "a b c"), (1, "a b c")], "doc_id bigint, text string")
     assert sorted(map(tuple, N.join(df).collect())) == [(1, 1, 1, 1), (3, 1, 1, 1)]
     assert N.join(df.limit(0)).count() == 0
-    assert [r.doc_id for r in N.one_of_each(df, ("doc_id", "text")).collect()] == [1]
+    assert [r.doc_id for r in N.one_of_each(df, ("doc_id", "text"), 5, 80).collect()] == [1]
 
 
 def test_components(spark):
