@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spolia.llm import bpe_pieces, fingerprints, grid_join, mixing, ngram_join, secret_links, token_files, toxicity
+from spolia.llm import bpe_pieces, fingerprints, grid_join, lm_scoring, mixing, ngram_join, secret_links, token_files, toxicity
 from spolia.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_pieces.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_links, op3_ngram_join, op4_mixing, op6_fingerprints, op7_token_files, op8_embedding_grid_join, op9_toxicity, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_secret_links, op3_ngram_join, op4_mixing, op5_lm_scoring, op6_fingerprints, op7_token_files, op8_embedding_grid_join, op9_toxicity, op10_byte_bpe)}
 ORACLE_SQL = {
     "op8_embedding_grid_join": """
         with recursive v as (
