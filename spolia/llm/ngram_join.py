@@ -2,7 +2,7 @@
 
 Tokens are hashes of word shingles.  Equal sets enter once with their number.  Two sets of a Jaccard
 similarity of at least NEAR / 100 differ in a bounded number D of tokens, so of D + 1 parts of the tokens (by hash)
-at least one is the same in both; the sums of these parts are the columns that are looked up.  Sets that share a part
+at least one is the same in both (more are used, as some are empty); the sums of the parts are the columns looked up.  Sets that share a part
 are partitioned into groups around the smallest set that they share one with (at most about GROUP sets each).  A query
 set meets a group only if it shares a part with one of its members; there its overlap with the group's token
 union is counted first, and only groups in which that reaches the least overlap are opened, that is, compared set by set
@@ -26,6 +26,7 @@ from spolia.llm.shingles import joined, mix, shingle_hashes
 
 SHINGLE, NEAR = 3, 90
 GROUP = 256
+JUMPS = 2
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter that spares texts without candidates the shuffle; fixed size
 
 _U = np.uint64
@@ -40,20 +41,44 @@ def size_classes(near: int) -> np.ndarray:
     return np.array(least)
 
 
-def parts_of(tokens: np.ndarray, near: int) -> np.ndarray:
-    """Sums of the parts of a set: for pairs within its size class and those below, and for pairs with the class above."""
+@lru_cache(maxsize=4096)
+def part_count(level: int, near: int) -> tuple[int, int]:
+    """Number of parts for pairs within a size class and with the one below, and how many more than one are sure to agree.
+
+    Two similar sets differ in at most D tokens, so of D + 1 + m parts m + 1 agree.  Parts without tokens agree by
+    accident, so m is chosen above the number of empty parts that a set of this class is likely to have.
+    """
     least = size_classes(near)
-    mine = int(np.searchsorted(least, len(tokens), side="right")) - 1
+    largest, smallest = int(least[level + 1]) - 1, int(least[max(level - 1, 0)])
+    most = 2 * largest * (100 - near) // (100 + near)
+    if not most:
+        return 0, 0  # only equal sets can be similar
+    spare = 0
+    while True:
+        count = most + 1 + spare
+        empty = count * np.exp(-smallest / count)
+        if spare >= empty + 2 * np.sqrt(empty) - 0.3 or spare > most:
+            return count, spare
+        spare += 1
+
+
+def parts_of(tokens: np.ndarray, near: int) -> np.ndarray:
+    """Sums of the parts of a set: for pairs within its size class and those below, and for pairs with the class above.
+
+    Parts without tokens are left out unless there are so many that all agreeing ones could be among them.
+    """
+    mine = int(np.searchsorted(size_classes(near), len(tokens), side="right")) - 1
     out = []
     for level in (mine, mine + 1):
-        largest = int(least[level + 1]) - 1
-        count = 2 * largest * (100 - near) // (100 + near) + 1  # one more than the largest possible difference
-        if count < 2:
-            continue  # only equal sets can be similar
+        count, spare = part_count(level, near)
+        if not count:
+            continue
         number = (mix(tokens) % _U(count)).astype(np.int64)
         sums = np.zeros(count, _U)
         np.add.at(sums, number, tokens)
-        out.append(mix(sums + mix(np.arange(count, dtype=_U) + (_U(level) << _U(44)))))
+        full = np.bincount(number, minlength=count) > 0
+        marks = mix(sums + mix(np.arange(count, dtype=_U) + (_U(level) << _U(44))))
+        out.append(marks if count - full.sum() > spare else marks[full])
     return np.concatenate(out) if out else np.zeros(0, _U)
 
 
@@ -156,7 +181,10 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     parts = part_rows(df, key, reps, shingle, near).repartition("part")
     shared = parts.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1")
     shared = written(parts.join(shared.select("part", "hub"), "part"), "parts")
-    member = shared.groupBy("rep").agg(F.min("hub").alias("hub"))
+    member = written(shared.groupBy("rep").agg(F.min("hub").alias("hub")), "hubs")
+    for _ in range(JUMPS):  # a hub's own hub, so that one family of texts makes few groups
+        further = member.select(F.col("rep").alias("hub"), F.col("hub").alias("further"))
+        member = member.join(further, "hub", "left").select("rep", F.coalesce("further", "hub").alias("hub"))
     number = member.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).alias("splits"))
     member = member.join(number, "hub")
     member = member.select("rep", F.xxhash64("hub", F.pmod(F.xxhash64("rep"), "splits")).alias("grp"))
