@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spolia.llm import bpe_pieces, fingerprints, grid_join, lm_scoring, mixing, ngram_join, secret_links, token_files, toxicity
+from spolia.llm import bpe_pieces, fingerprints, grid_join, lm_scoring, mixing, ngram_join, secret_links, suffix_dedup, token_files, toxicity
 from spolia.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -16,6 +16,10 @@ def op1_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_pieces.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_links, op3_ngram_join, op4_mixing, op5_lm_scoring, op6_fingerprints, op7_token_files, op8_embedding_grid_join, op9_toxicity, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_secret_links, op2_suffix_dedup, op3_ngram_join, op4_mixing, op5_lm_scoring, op6_fingerprints, op7_token_files, op8_embedding_grid_join, op9_toxicity, op10_byte_bpe)}
 ORACLE_SQL = {
     "op8_embedding_grid_join": """
         with recursive v as (
