@@ -3,7 +3,7 @@
 Anchors.  Each window of WINDOW bytes has an anchor: the least hash of its GRAM-byte strings, the leftmost on ties.  It
 depends on the window alone, so equal windows have equal anchors at equal places.  Windows with the same anchor in a
 row form a context (their bytes together).  Only contexts whose anchor occurs again can hold a repeated window.
-Suffix order.  Equal contexts are kept once with their number.  The contexts of an anchor meet in one task, are cut
+Suffix order.  Equal contexts are kept once with their number; where all contexts of an anchor occur again, all is said.  The contexts of an anchor meet in one task, are cut
 into tokens, and the suffixes at token starts are sorted by grouping (`suffix_groups`).  Windows with the same
 distance to the next token start are equal just where the order runs on with enough common bytes from there and the
 bytes before agree.
@@ -176,7 +176,7 @@ def likely(rows: DataFrame, column: str, keys: DataFrame, inverted: bool = False
 
 def _contexts_of(texts: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text", 1 << 20):
+        for piece in slices(batches, "text", 1 << 19):
             flat, offsets = flat_bytes(piece.column(1))
             anchor, whole, text, start, count = contexts(flat, offsets)
             uid = piece.column(0).to_numpy()[text]
@@ -272,11 +272,14 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     again = written(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     found = written(likely(found, "anchor", again).join(again, "anchor", "left_semi"), "places")
     once = found.groupBy("anchor", "whole").agg(F.count("*").alias("times"), F.min(F.struct("uid", "start", "windows")).alias("p"))
-    many = once.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > MOST_CONTEXTS).select("anchor", F.lit(True).alias("many"))
-    once = once.join(many, "anchor", "left").select("anchor", "whole", "times", "p.*", F.coalesce("many", F.lit(False)).alias("many"))
+    anchors = once.groupBy("anchor").agg(F.count("*").alias("n"), F.min("times").alias("least"))
+    once = written(once.join(anchors, "anchor").select("anchor", "whole", "times", "p.*", (F.col("n") > MOST_CONTEXTS).alias("many"), "least"), "once")
+    # Where every context of an anchor occurs again as a whole, all its windows do; nothing is left to compare.
+    settled = once.where("least > 1").select("anchor", "whole", F.lit(0).cast("bigint").alias("first"), F.col("windows").alias("size"))
+    once = once.where("least = 1")
     cut = written(_cut_out(texts, once), "cut")
     with batch_rows(df.sparkSession, 2000):
-        ranges = written(_sorted_ranges(cut).union(_counted_ranges(cut)), "ranges")
+        ranges = written(_sorted_ranges(cut).union(_counted_ranges(cut)).union(settled), "ranges")
     covered = found.join(ranges, ["anchor", "whole"]).select("uid", (F.col("start") + F.col("first")).alias("a"), (F.col("size") + WINDOW - 1).alias("n"))
     covered = written(covered.groupBy("uid").agg(F.collect_list(F.struct("a", "n")).alias("spans")), "covered")
 
