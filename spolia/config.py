@@ -50,4 +50,5 @@ class CorpusConfig:
     chunk_rows: int = CHUNK_ROWS
     primary_only: bool = True
     include_book_uri: bool = False
+    by_folder: bool = False  # whether versions and the parts of books belong together within one folder only
     overwrite: bool = False

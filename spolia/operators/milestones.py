@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from spolia import config
 from spolia.functions import text as txt
+from spolia.operators.corpus import file_key, folder
 from spolia.operators.once import computed_once, exploded
 
 VERSION = ["book_uri", "version"]
@@ -59,32 +60,33 @@ def assign_milestones(
     )
 
 
-def number_parts(texts: DataFrame, listing: DataFrame) -> DataFrame:
-    """Where every file of a split book starts: `file_name, start[, unsound]`.
+def number_parts(texts: DataFrame, listing: DataFrame, by_folder: bool = False) -> DataFrame:
+    """Where every file of a split book starts: its key (path or name), `start[, unsound]`.
 
-    Numbering continues only if every file of the version is a part, separately per
+    With `by_folder` books are told apart by folder too.  Numbering continues only if every file of the version is a part, separately per
     language and extension.  `unsound` tells, if `texts` has a `reason`, whether any part of
     the same book was rejected.  Works on names and counts; a group holds one row per part.
     `listing` holds the names of all files.
     """
-    unsplit = listing.where(F.col("part").isNull()).select(*VERSION).distinct()
-    book = Window.partitionBy(*VERSION, "lang_ext")
+    key, place = file_key(texts), folder(by_folder).alias("folder")
+    unsplit = listing.where(F.col("part").isNull()).select(place, *VERSION).distinct()
+    book = Window.partitionBy("folder", *VERSION, "lang_ext")
     earlier = book.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
     checked = "reason" in texts.columns
     flag = [F.col("reason").isNotNull().alias("bad")] if checked else []
     return (
         texts.where(F.col("part").isNotNull())
-        .select("file_name", *VERSION, "lang_ext", F.size("milestones").cast("bigint").alias("n"), *flag)
-        .join(unsplit, VERSION, "left_anti")
+        .select(*dict.fromkeys((key, "file_name")), place, *VERSION, "lang_ext", F.size("milestones").cast("bigint").alias("n"), *flag)
+        .join(unsplit, ["folder", *VERSION], "left_anti")
         .select(
-            "file_name",
+            key,
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"),
             *([F.max("bad").over(book).alias("unsound")] if checked else []),
         )
     )
 
 
-def continue_numbering(texts: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+def continue_numbering(texts: DataFrame, listing: DataFrame | None = None, by_folder: bool = False) -> DataFrame:
     """Add `start`, the number of milestones in earlier parts of the same book.
 
     Unsplit texts pass through; only the parts of split books are joined with their
@@ -96,7 +98,7 @@ def continue_numbering(texts: DataFrame, listing: DataFrame | None = None) -> Da
     single = texts.where(F.col("part").isNull()).withColumn("start", zero)
     parts = (
         texts.where(F.col("part").isNotNull())
-        .join(number_parts(texts, listing), "file_name", "left")
+        .join(number_parts(texts, listing, by_folder), file_key(texts), "left")
         .withColumn("start", F.coalesce("start", zero))
     )
     if "reason" in texts.columns:

@@ -30,6 +30,13 @@ def flip(df: DataFrame, recompute: bool = False, kernel: str = "builtin") -> Dat
     return df.select(*_flipped(df.columns, recompute, kernel))
 
 
+def one_direction(df: DataFrame) -> DataFrame:
+    """Alignments of book pairs in one direction: where both are there, that with the smaller `series1` stays."""
+    pairs = df.select("series1", "series2").distinct()
+    mirrored = pairs.where("series1 < series2").select(F.col("series2").alias("series1"), F.col("series1").alias("series2"))
+    return df.join(mirrored, ["series1", "series2"], "left_anti").select(*df.columns)
+
+
 def bidirectional(df: DataFrame, recompute: bool = False, kernel: str = "builtin") -> DataFrame:
     """Every alignment in both directions.
 

@@ -28,5 +28,9 @@ def pairwise_tables(
 
 
 def mirror_tables(spark: SparkSession, in_path: str, out_path: str, recompute: bool = False) -> None:
-    """Write existing pairwise tables in both directions to a new place."""
-    writers.write_pairwise(pw.bidirectional(readers.read_pairwise(spark, in_path), recompute), out_path)
+    """Write existing pairwise tables in both directions to a new place.
+
+    Tables that are there in both directions already are taken in one, so a second run changes nothing.
+    """
+    tables = pw.one_direction(readers.read_pairwise(spark, in_path))
+    writers.write_pairwise(pw.bidirectional(tables, recompute), out_path)

@@ -18,6 +18,7 @@ METADATA = _struct(
     ("date", _STR), ("author_lat", _STR), ("book", _STR),
 )
 
+# The names and the order of the columns below are those of the aligner's table and of the output files.
 # One aligned passage; the columns ending in 1 / 2 describe its two sides.
 ALIGNMENTS = _struct(
     ("b1", _INT), ("b2", _INT), ("bw1", _INT), ("bw2", _INT),

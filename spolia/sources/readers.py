@@ -34,7 +34,7 @@ def read_metadata(spark: SparkSession, path: str, columns: list[str] | None = No
     The columns present are taken from the header; those of `schemas.METADATA` that are
     missing are added as nulls.
     """
-    df = spark.read.csv(path, sep="\t", header=True, quote="")
+    df = spark.read.csv(path, sep="\t", header=True)
     missing = {f.name: F.lit(None).cast("string") for f in schemas.METADATA if f.name not in df.columns}
     if "id" in missing:
         raise ValueError(f"metadata {path} has no column 'id'")
@@ -90,13 +90,14 @@ def read_alignments(
     return df
 
 
-def read_tsv(spark: SparkSession, path: str) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Tab-separated file with header; known columns get their type, others are strings.
 
-    A quoted empty field is an empty string; the null marker only has to differ from it.
+    A quoted empty field is an empty string; the null marker only has to differ from it.  Texts hold line breaks, so a
+    file is read as one piece; `multi_line=False` splits large files that have none.
     """
     reader = spark.read.options(
-        sep="\t", header=True, multiLine=True, quote='"', escape='"', nullValue=r"\N"
+        sep="\t", header=True, multiLine=multi_line, quote='"', escape='"', nullValue=r"\N"
     )
     return reader.schema(schemas.typed_schema(reader.csv(path).columns)).csv(path)
 
@@ -107,13 +108,16 @@ def read_pairwise(spark: SparkSession, path: str) -> DataFrame:
 
 
 def existing_series(spark: SparkSession, path: str) -> DataFrame:
-    """Series that already have output below `path`, from directory names only."""
+    """Series that already have output below `path`: from directory names, or from the records of flat files."""
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     except AnalysisException:  # nothing written yet
         return spark.createDataFrame([], "series string")
     series = F.regexp_extract("path", "/file=([^/]+)-[0-9]{5,}/", 1)
-    return files.select(F.url_decode(series).alias("series")).where("series <> ''").distinct()
+    named = files.select(F.url_decode(series).alias("series")).where("series <> ''").distinct()
+    if not named.isEmpty() or files.isEmpty():
+        return named
+    return spark.read.schema("series string").json(path).where("series is not null").distinct()
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

@@ -39,11 +39,13 @@ def write_records(
 
     With `per_series` a directory `file=<series>-<chunk>` holds one file of at most `rows`
     records; the chunk number keeps the parts of a long series apart, so no task receives
-    a whole one; only the files of the given records are replaced.  Without it the records are written as they are partitioned, for corpora
-    with more series than a file system should have directories.
+    a whole one; only the files of the given records are replaced.  Without it the records are added, sorted by series
+    and place, in files of bounded size next to those of earlier runs (`existing_series` reads their series), for corpora with
+    more series than a file system should have directories.
     """
     if not per_series:
-        records.drop("pos").write.mode("overwrite").json(path)
+        ordered = records.repartitionByRange("series", "pos").sortWithinPartitions("series", "pos").drop("pos")
+        ordered.write.mode("append").option("maxRecordsPerFile", 1000 * rows).json(path)
         return
     (
         with_chunk(records, rows)

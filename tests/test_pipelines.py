@@ -282,8 +282,67 @@ def test_offsets_read_records_once(spark, tmp_path):
     assert plan.count("ReusedExchange") == 1 and plan.count("FileScan") == 1
 
 
-def test_broadcast_is_measured(spark):
-    from spolia.operators.sizing import fits_broadcast
+def test_choosing_versions_runs_no_job(spark):
+    from spolia.functions.uri import with_uri
+
+    texts = with_uri(spark.createDataFrame([("0100One.Book.X1-eng1", "x")], "file_name string, value string"))
+    status = spark.sparkContext.statusTracker()
+    before = len(status.getJobIdsForGroup(None))
+    corpus.select_version(texts)
+    assert len(status.getJobIdsForGroup(None)) == before
+
+
+def write_texts(root, texts):
+    for name, value in texts.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(value, encoding="utf8")
+
+
+def test_a_broken_part_rejects_its_book_in_the_export(spark, tmp_path):
+    body = "ا ms1"
+    write_texts(tmp_path / "in", {
+        "0200Two.Long.X2A-eng1": HEAD + body, "0200Two.Long.X2B-eng1": body, "0200Two.Long.X2C-eng1": HEAD + body,
+        "0100One.Book.X1-eng1": HEAD + body,
+    })
+    out, log, rejects = (str(tmp_path / n) for n in ("out", "log", "rejects"))
+    settings = CorpusConfig(primary_only=False)
+    status = prepare.export_records(spark, str(tmp_path / "in"), out, log, None, settings, rejects)
+    assert {r.id for r in readers.read_records(spark, out).collect()} == {"X1-eng1.ms1"}
+    assert [tuple(r) for r in status.collect()] == [("X1-eng1", 1)]
+    assert {(r.file_name[-7:], r.reason) for r in spark.read.parquet(rejects).collect()} == {
+        ("X2A-eng1"[-7:], "other part rejected"), ("X2B-eng1"[-7:], "missing splitter"), ("X2C-eng1"[-7:], "other part rejected"),
+    }
+
 
-    df = spark.range(100)
-    assert fits_broadcast(df) and not fits_broadcast(df, max_rows=50) and not fits_broadcast(df, max_bytes=500)
+@pytest.mark.parametrize("by_folder, reason", [(False, "same name in another folder"), (True, "version in another folder")])
+def test_equal_names_in_two_folders(spark, tmp_path, by_folder, reason):
+    names = ("0100One.Book.X2-eng1", "0300Three.Long.X3A-eng1", "0300Three.Long.X3B-eng1")
+    write_texts(tmp_path / "in", {f"{d}/{n}": HEAD + f"ا {d} ms1" for d in "xy" for n in names})
+    out, log, rejects = (str(tmp_path / n) for n in ("out", "log", "rejects"))
+    settings = CorpusConfig(primary_only=False, by_folder=by_folder)
+    prepare.export_records(spark, str(tmp_path / "in"), out, log, None, settings, rejects)
+    ids = [r.id for r in readers.read_records(spark, out).collect()]
+    assert sorted(ids) == ["X2-eng1.ms1", "X3-eng1.ms1", "X3-eng1.ms1"]  # parts A and B have a first milestone each
+    found = spark.read.parquet(rejects).collect()
+    assert {(r.path.split("/")[-2], r.file_name, r.reason) for r in found} == {("y", n, reason) for n in names}
+
+
+def test_flat_records_grow_by_series(spark, tmp_path):
+    source, out, log = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "log")
+    settings = CorpusConfig(primary_only=False)
+    write_texts(source, {"0100One.Book.X1-eng1": HEAD + "ا ms1"})
+    prepare.export_records(spark, str(source), out, log, None, settings, per_series=False)
+    first = {p.name for p in (tmp_path / "out").glob("part-*")}
+    write_texts(source, {"0200Two.Book.X2-eng1": HEAD + "ا ms1"})
+    again = prepare.export_records(spark, str(source), out, log, None, settings, per_series=False)
+    assert {tuple(r) for r in again.collect()} == {("X1-eng1", 0), ("X2-eng1", 1)}
+    assert sorted(r.id for r in readers.read_records(spark, out).collect()) == ["X1-eng1.ms1", "X2-eng1.ms1"]
+    assert first <= {p.name for p in (tmp_path / "out").glob("part-*")}
+
+
+def test_mirror_twice(spark, tmp_path):
+    df = spark.createDataFrame([("A", "B", "a1", "b1", 1), ("A", "B", "a2", "b1", 2), ("C", "A", "c1", "a1", 3)],
+                               "series1 string, series2 string, id1 string, id2 string, matches int")
+    once = pw.bidirectional(df)
+    assert sorted(pw.bidirectional(pw.one_direction(once)).collect()) == sorted(once.collect())
+    assert sorted(pw.one_direction(df).collect()) == sorted(df.collect())
