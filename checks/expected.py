@@ -26,7 +26,7 @@ _FULL = [o.ALIGNMENTS, o.RECORDS, o.OFFSETS, o.BOOK_META, o.words(1), o.words(2)
 _FULL_FROM = "FROM pair_meta JOIN wm1 USING (T1, T2) JOIN wm2 USING (T1, T2) JOIN cm USING (T1, T2)"
 _MS = [o.FILES, o.MILESTONES, o.LABELS]
 _PAIRS = "pairs AS (SELECT DISTINCT T1, T2 FROM alignments)"
-_KEYS = "uid1, uid2, b1, T1 AS _T1, T2 AS _T2, CAST(seq1 AS BIGINT) AS seq1, CAST(seq2 AS BIGINT) AS seq2"
+_KEYS = "uid1, uid2, b1, b2, T1 AS _T1, T2 AS _T2, CAST(seq1 AS BIGINT) AS seq1, CAST(seq2 AS BIGINT) AS seq2"
 _MERGED_TAGGED = o.MERGED.replace("merged AS", "merged AS").replace("|| text ||", "|| tagged ||").replace(
     "FROM chosen", "FROM chosen JOIN tagged USING (file_name) JOIN vmeta ON vmeta.id = version AND status = 'pri'"
 )
@@ -89,25 +89,25 @@ def expected() -> dict[str, str]:
             select=f"""SELECT series || '.' || ms_label AS id, series, {_CLEAN.format('text')} AS text,
             CAST(regexp_replace(ms_label, '[^0-9]', '', 'g') AS BIGINT) AS seq, book_uri FROM cut"""),
         "align_clean": q(*_CLEANED, select=f"SELECT {', '.join(o.ALIGN_COLUMNS)} FROM alignments"),
-        "ch_match": q(o.ALIGNMENTS, select=f"SELECT uid1, uid2, b1, {o.CH_MATCH} AS ch_match, matches AS ch_match_spaces FROM alignments"),
-        "ch_match_arrow": q(o.ALIGNMENTS, select=f"SELECT uid1, uid2, b1, {o.CH_MATCH} AS ch_match FROM alignments"),
-        "align_len": q(o.ALIGNMENTS, select="SELECT uid1, uid2, b1, CAST(length(s1) AS INTEGER) AS align_len FROM alignments"),
-        "matches_percent": q(o.ALIGNMENTS, select=f"SELECT uid1, uid2, b1, {o.PERCENT} AS matches_percent FROM alignments"),
+        "ch_match": q(o.ALIGNMENTS, select=f"SELECT uid1, uid2, b1, b2, {o.CH_MATCH} AS ch_match, matches AS ch_match_spaces FROM alignments"),
+        "ch_match_arrow": q(o.ALIGNMENTS, select=f"SELECT uid1, uid2, b1, b2, {o.CH_MATCH} AS ch_match FROM alignments"),
+        "align_len": q(o.ALIGNMENTS, select="SELECT uid1, uid2, b1, b2, CAST(length(s1) AS INTEGER) AS align_len FROM alignments"),
+        "matches_percent": q(o.ALIGNMENTS, select=f"SELECT uid1, uid2, b1, b2, {o.PERCENT} AS matches_percent FROM alignments"),
         "w_match": q(o.ALIGNMENTS, o.words(1, False), o.W_COUNT, select="SELECT * FROM wc"),
-        "count_dashes": q(o.ALIGNMENTS, select="""SELECT uid1, uid2, b1, CAST(length(s1) - length(replace(s1, '-', '')) AS INTEGER) AS dashes1,
+        "count_dashes": q(o.ALIGNMENTS, select="""SELECT uid1, uid2, b1, b2, CAST(length(s1) - length(replace(s1, '-', '')) AS INTEGER) AS dashes1,
             CAST(length(s2) - length(replace(s2, '-', '')) AS INTEGER) AS dashes2 FROM alignments"""),
         "first_token_ascii": r"""SELECT doc_id, split_part(text, ' ', 1) AS first_token,
             regexp_replace(text, '[^\x00-\x7F]', '', 'g') AS ascii FROM documents""",
-        "word_positions": q(o.ALIGNMENTS, o.words(1), select="""SELECT uid1, uid2, b1, coalesce(string_agg(
+        "word_positions": q(o.ALIGNMENTS, o.words(1), select="""SELECT uid1, uid2, b1, b2, coalesce(string_agg(
             CASE WHEN hit THEN CAST((seq - 1) * 300 + bw + k AS VARCHAR) END, ',' ORDER BY k), '') AS positions
-            FROM words1 GROUP BY uid1, uid2, b1"""),
-        "char_positions": q(o.ALIGNMENTS, o.RECORDS, o.OFFSETS, o.CHARS, select="""SELECT uid1, uid2, b1, coalesce(string_agg(
+            FROM words1 GROUP BY uid1, uid2, b1, b2"""),
+        "char_positions": q(o.ALIGNMENTS, o.RECORDS, o.OFFSETS, o.CHARS, select="""SELECT uid1, uid2, b1, b2, coalesce(string_agg(
             CASE WHEN z[1] = z[2] THEN CAST(ch_offset + b1 + i AS VARCHAR) END, ',' ORDER BY i), '') AS positions
-            FROM chars JOIN offsets ON sid = T1 AND seq = seq1 GROUP BY uid1, uid2, b1"""),
+            FROM chars JOIN offsets ON sid = T1 AND seq = seq1 GROUP BY uid1, uid2, b1, b2"""),
         "alignment_stats": q(o.ALIGNMENTS, o.words(1, False), o.W_COUNT, o.STATS, select=f"SELECT {_STAT_LIST} FROM stats"),
         "flip": q(o.ALIGNMENTS, o.words(1, False), o.W_COUNT, o.STATS, select=f"SELECT {_MIRROR} FROM stats"),
         "flip_recompute": q(o.ALIGNMENTS, o.words(2, False), o.W_COUNT.replace("words1", "words2"),
-            select="""SELECT uid2 AS uid1, uid1 AS uid2, b2 AS b1, w_match FROM alignments JOIN wc USING (uid1, uid2, b1)"""),
+            select="""SELECT uid2 AS uid1, uid1 AS uid2, b2 AS b1, b1 AS b2, w_match FROM alignments JOIN wc USING (uid1, uid2, b1, b2)"""),
         "bidirectional": q(o.ALIGNMENTS, o.words(1, False), o.W_COUNT, o.STATS, select=_BOTH),
         "pairwise_table": q(*_CLEANED, o.words(1, False), o.W_COUNT, o.STATS, select=_BOTH),
         "pair_counts": q(o.ALIGNMENTS, select="""SELECT series1, series2, count(matches) AS instances, min(matches) AS matches_min,
@@ -130,7 +130,7 @@ def expected() -> dict[str, str]:
             select="SELECT T1 AS _T1, T2 AS _T2, CM1_Total, CM2_Total FROM cm"),
         "matches_summary": q(o.ALIGNMENTS, o.SUMMARY, select="SELECT * EXCLUDE (T1, T2), T1 AS _T1, T2 AS _T2 FROM summary"),
         "positions_len_stats": q(o.ALIGNMENTS, o.CHARS, o.words(1), o.words(2),
-            *[f"n{k} AS (SELECT T1, T2, greatest(count(*) FILTER ({hit}), 1) AS n FROM {src} GROUP BY T1, T2, uid1, uid2, b1)"
+            *[f"n{k} AS (SELECT T1, T2, greatest(count(*) FILTER ({hit}), 1) AS n FROM {src} GROUP BY T1, T2, uid1, uid2, b1, b2)"
               for k, src, hit in (("c", "chars", "z[1] = z[2]"), ("w1", "words1", "hit"), ("w2", "words2", "hit"))],
             *[f"g{k} AS (SELECT T1, T2, CAST(min(n) AS INTEGER) AS {c}_min, CAST(max(n) AS INTEGER) AS {c}_max, avg(n) AS {c}_mean FROM n{k} GROUP BY T1, T2)"
               for k, c in (("c", "chars"), ("w1", "words1"), ("w2", "words2"))],

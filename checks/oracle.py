@@ -116,13 +116,15 @@ meta AS (
 
 _LINES = r"regexp_extract_all({}.text, '[^\n]*\n|[^\n]+')"
 ALIGNMENTS = f"""
-partners AS (
-  SELECT split_part(text, {NL}, 1) AS first_line, min(doc_id) AS partner FROM documents GROUP BY 1),
+firsts AS (
+  SELECT split_part(text, {NL}, 1) AS first_line, min(doc_id) AS a, arg_min(source, doc_id) AS a_source FROM documents GROUP BY 1),
+seconds AS (
+  SELECT first_line, min(doc_id) AS b FROM documents JOIN firsts ON split_part(text, {NL}, 1) = first_line
+  WHERE source <> a_source GROUP BY 1),
 texts2 AS (
   SELECT CASE WHEN d.source < p.source THEN d ELSE p END AS x1, CASE WHEN d.source < p.source THEN p ELSE d END AS x2
-  FROM documents d JOIN partners g ON split_part(d.text, {NL}, 1) = g.first_line
-  JOIN documents p ON p.doc_id = g.partner
-  WHERE d.doc_id <> p.doc_id AND d.source <> p.source),
+  FROM documents d JOIN firsts f ON split_part(d.text, {NL}, 1) = f.first_line JOIN seconds s ON s.first_line = f.first_line
+  JOIN documents p ON p.doc_id = CASE WHEN d.source <> f.a_source THEN f.a WHEN d.doc_id <> f.a THEN s.b END),
 lines2 AS (
   SELECT x1, x2, unnest({_LINES.format('x1')}) AS t1, unnest({_LINES.format('x2')}) AS t2,
     generate_subscripts(range(greatest(len({_LINES.format('x1')}), len({_LINES.format('x2')}))), 1) AS k
@@ -133,7 +135,7 @@ sized AS (
     coalesce(sum(length(t2) - length(replace(t2, ' ', ''))) OVER w, 0) AS w2,
     rpad(t1, CAST(greatest(length(t1), length(t2)) AS INTEGER), '-') AS s1,
     rpad(t2, CAST(greatest(length(t1), length(t2)) AS INTEGER), '-') AS s2
-  FROM lines2 WHERE t1 IS NOT NULL AND t2 IS NOT NULL
+  FROM (SELECT * REPLACE (coalesce(t1, '') AS t1, coalesce(t2, '') AS t2) FROM lines2)
   WINDOW w AS (PARTITION BY x1.doc_id, x2.doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 alignments AS (
   SELECT *, matches / CAST(length(s1) AS DOUBLE) AS score FROM (
@@ -154,23 +156,23 @@ alignments AS (
 # One row per aligned character, and one per blank-separated word of either side.
 CHARS = f"""
 chars AS (
-  SELECT uid1, uid2, b1, T1, T2, seq1, seq2, b2, unnest(z) AS z, generate_subscripts(z, 1) - 1 AS i
+  SELECT uid1, uid2, b1, b2, T1, T2, seq1, seq2, unnest(z) AS z, generate_subscripts(z, 1) - 1 AS i
   FROM (SELECT *, list_zip(string_split(replace(s1, {NL}, ' '), ''), string_split(replace(s2, {NL}, ' '), '')) AS z FROM alignments))
 """
 
 
 def words(side: int, newlines: bool = True) -> str:
-    """CTE `words<side>`: uid1, uid2, b1, k, hit for the words of one side."""
+    """CTE `words<side>`: uid1, uid2, b1, b2, k, hit for the words of one side."""
     a, b = (f"replace(s{x}, {NL}, ' ')" if newlines else f"s{x}" for x in (side, 3 - side))
     return f"""
 split{side} AS (
-  SELECT uid1, uid2, b1, T1, T2, seq{side} AS seq, bw{side} AS bw, {a} AS a, {b} AS b,
+  SELECT uid1, uid2, b1, b2, T1, T2, seq{side} AS seq, bw{side} AS bw, {a} AS a, {b} AS b,
     string_split(rtrim_one({a}), ' ') AS ws FROM alignments),
 word_rows{side} AS (
   SELECT *, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM split{side}),
 words{side} AS (
-  SELECT uid1, uid2, b1, T1, T2, seq, bw, k,
-    substr(b, CAST(1 + coalesce(sum(length(w) + 1) OVER (PARTITION BY uid1, uid2, b1 ORDER BY k
+  SELECT uid1, uid2, b1, b2, T1, T2, seq, bw, k,
+    substr(b, CAST(1 + coalesce(sum(length(w) + 1) OVER (PARTITION BY uid1, uid2, b1, b2 ORDER BY k
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT), length(w)) = w AS hit
   FROM word_rows{side})
 """.replace(f"rtrim_one({a})", f"CASE WHEN {a} LIKE '% ' THEN substr({a}, 1, length({a}) - 1) ELSE {a} END")
@@ -191,12 +193,12 @@ SIDES = ("b", "bw", "e", "ew", "first", "gid", "id", "len", "s", "seq", "series"
 ALIGN_COLUMNS = [f"{c}{s}" for c in SIDES for s in (1, 2)] + ["matches", "score"]
 STAT_COLUMNS = ALIGN_COLUMNS + ["ch_match", "align_len", "matches_percent", "w_match", "series_b1", "series_b2"]
 
-W_COUNT = "wc AS (SELECT uid1, uid2, b1, CAST(count(*) FILTER (hit) AS INTEGER) AS w_match FROM words1 GROUP BY ALL)"
+W_COUNT = "wc AS (SELECT uid1, uid2, b1, b2, CAST(count(*) FILTER (hit) AS INTEGER) AS w_match FROM words1 GROUP BY ALL)"
 STATS = f"""
 stats AS (
   SELECT a.*, {CH_MATCH} AS ch_match, CAST(length(s1) AS INTEGER) AS align_len, {PERCENT} AS matches_percent,
     wc.w_match, series1 AS series_b1, series2 AS series_b2
-  FROM alignments a JOIN wc USING (uid1, uid2, b1))
+  FROM alignments a JOIN wc USING (uid1, uid2, b1, b2))
 """
 
 
@@ -223,7 +225,7 @@ WM_SETS = "\n".join(
     f"""wm{s} AS (
   SELECT T1, T2, CAST(count(DISTINCT CASE WHEN hit THEN (seq - 1) * 300 + bw + k END)
       + max(CASE WHEN hits = 0 THEN 1 ELSE 0 END) AS INTEGER) AS WM{s}_Total
-  FROM (SELECT *, count(*) FILTER (hit) OVER (PARTITION BY uid1, uid2, b1) AS hits FROM words{s})
+  FROM (SELECT *, count(*) FILTER (hit) OVER (PARTITION BY uid1, uid2, b1, b2) AS hits FROM words{s})
   GROUP BY T1, T2){',' if s == 1 else ''}""" for s in (1, 2)
 )
 CM_SETS = """
@@ -233,7 +235,7 @@ located AS (
 cm AS (
   SELECT T1, T2, CAST(count(DISTINCT CASE WHEN hit THEN p1 END) + max(CASE WHEN hits = 0 THEN 1 ELSE 0 END) AS INTEGER) AS CM1_Total,
     CAST(count(DISTINCT CASE WHEN hit THEN p2 END) + max(CASE WHEN hits = 0 THEN 1 ELSE 0 END) AS INTEGER) AS CM2_Total
-  FROM (SELECT *, count(*) FILTER (hit) OVER (PARTITION BY uid1, uid2, b1) AS hits FROM located)
+  FROM (SELECT *, count(*) FILTER (hit) OVER (PARTITION BY uid1, uid2, b1, b2) AS hits FROM located)
   GROUP BY T1, T2)
 """
 SUMMARY = """

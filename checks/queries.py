@@ -195,7 +195,7 @@ def text_records(spark, d):
 
 # --- alignments -------------------------------------------------------------------------
 
-_KEY = ("uid1", "uid2", "b1")
+_KEY = ("uid1", "uid2", "b1", "b2")
 
 
 @query
@@ -255,7 +255,7 @@ def word_positions(spark, d):
 @query
 def char_positions(spark, d):
     keyed = t.alignments(spark, d).select(
-        *_KEY, *[align.newline_to_space(F.col(s)).alias(s) for s in ("s1", "s2")], "b2",
+        *_KEY, *[align.newline_to_space(F.col(s)).alias(s) for s in ("s1", "s2")],
         *[uri.short_id(F.col(f"series{s}")).alias(f"_T{s}") for s in (1, 2)],
         *[F.col(f"seq{s}").cast("bigint").alias(f"seq{s}") for s in (1, 2)],
     )

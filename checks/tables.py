@@ -138,22 +138,25 @@ def book_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Aligned passages: copies against the first document with the same first line.
+    """Aligned passages: copies against the first document of another source with the same first line.
 
     A document is linked to one partner only, so the links grow with the documents and not
     with the square of a group of copies.  Both texts are cut into lines, and line k is
-    set against line k, padded with gaps to equal length.  The side with the smaller
+    set against line k, padded with gaps to equal length; lines beyond the end of the shorter
+    text stand against gaps only, so no character is left out.  The side with the smaller
     source comes first.
     """
     docs = documents(spark, sf_dir).withColumn("first_line", F.substring_index("text", "\n", 1))
-    first = docs.groupBy("first_line").agg(F.min("doc_id").alias("partner"))
-    copies = docs.select("doc_id", "first_line").join(first, "first_line").where("doc_id <> partner").drop("first_line")
+    least = docs.groupBy("first_line").agg(F.min(F.struct("doc_id", "source")).alias("a"))
+    grouped = docs.select("doc_id", "source", "first_line").join(least, "first_line")
+    other = grouped.where("source <> a.source").groupBy("first_line").agg(F.min("doc_id").alias("b"))
+    partner = F.when(F.col("source") != F.col("a.source"), F.col("a.doc_id")).when(F.col("doc_id") != F.col("a.doc_id"), F.col("b"))
+    copies = grouped.join(other, "first_line").select("doc_id", partner.alias("partner")).where("partner is not null")
     sides = ("doc_id", "source", "text")
     whole = docs.select(*sides)
     pairs = (
         copies.join(whole, "doc_id")
         .join(whole.select(*[F.col(c).alias(f"p_{c}") for c in sides]), F.col("partner") == F.col("p_doc_id"))
-        .where("source <> p_source")
     )
     own_first = F.col("source") < F.col("p_source")
     ordered = pairs.select(
@@ -173,10 +176,9 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = [c for c in heads.columns if c != "lines"]
     lines = (
         exploded(heads, kept, "lines", "k", "t")
-        .select(*kept, "k", "t.t1", "t.t2")
-        .where("t1 is not null and t2 is not null")
+        .select(*kept, "k", *[F.coalesce(f"t.t{s}", F.lit("")).alias(f"t{s}") for s in (1, 2)])
     )
-    # Lines of one pair of texts; the shorter text bounds the group.
+    # Lines of one pair of texts; the longer text bounds the group.
     earlier = (
         Window.partitionBy("doc_id1", "doc_id2").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     )
