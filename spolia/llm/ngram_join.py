@@ -2,9 +2,9 @@
 
 Tokens are hashes of word shingles.  Equal sets enter once with their number.  Two sets of a Jaccard
 similarity of at least NEAR / 100 differ in a bounded number D of tokens, so of D + 1 parts of the tokens (by hash)
-at least one is the same in both (more are used, as some are empty); the sums of the parts are the columns looked up.  Sets that share a part
+at least one is the same in both; with some more parts at least AGREE are.  The sums of the parts are the columns looked up.  Sets that share a part
 are partitioned into groups around the smallest set that they share one with (at most about GROUP sets each).  A query
-set meets a group only if it shares a part with one of its members; there its overlap with the group's token
+set meets a group only if the groups share AGREE parts; there its overlap with the group's token
 union is counted first, and only groups in which that reaches the least overlap are opened, that is, compared set by set
 over the postings of the union.  Long sets and hot parts are aggregated before they are shuffled; no part's or group's
 pairs are ever listed as rows, only groups are paired.
@@ -26,7 +26,7 @@ from spolia.llm.shingles import joined, mix, shingle_hashes
 
 SHINGLE, NEAR = 3, 90
 GROUP = 256
-JUMPS = 2
+AGREE = 3  # parts that two similar sets have in common at least
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter that spares texts without candidates the shuffle; fixed size
 
 _U = np.uint64
@@ -46,7 +46,7 @@ def part_count(level: int, near: int) -> tuple[int, int]:
     """Number of parts for pairs within a size class and with the one below, and how many more than one are sure to agree.
 
     Two similar sets differ in at most D tokens, so of D + 1 + m parts m + 1 agree.  Parts without tokens agree by
-    accident, so m is chosen above the number of empty parts that a set of this class is likely to have.
+    accident, so m exceeds the number of empty parts that a set of this class is likely to have by AGREE - 1.
     """
     least = size_classes(near)
     largest, smallest = int(least[level + 1]) - 1, int(least[max(level - 1, 0)])
@@ -57,7 +57,7 @@ def part_count(level: int, near: int) -> tuple[int, int]:
     while True:
         count = most + 1 + spare
         empty = count * np.exp(-smallest / count)
-        if spare >= empty + 2 * np.sqrt(empty) - 0.3 or spare > most:
+        if spare >= empty + 2 * np.sqrt(empty) - 0.3 + AGREE - 1 or spare > most + AGREE:
             return count, spare
         spare += 1
 
@@ -65,7 +65,8 @@ def part_count(level: int, near: int) -> tuple[int, int]:
 def parts_of(tokens: np.ndarray, near: int) -> np.ndarray:
     """Sums of the parts of a set: for pairs within its size class and those below, and for pairs with the class above.
 
-    Parts without tokens are left out unless there are so many that all agreeing ones could be among them.
+    Similar sets have at least AGREE of these sums in common.  Parts without tokens are left out unless there are so many
+    that fewer than AGREE of the agreeing ones might have tokens.
     """
     mine = int(np.searchsorted(size_classes(near), len(tokens), side="right")) - 1
     out = []
@@ -78,7 +79,7 @@ def parts_of(tokens: np.ndarray, near: int) -> np.ndarray:
         np.add.at(sums, number, tokens)
         full = np.bincount(number, minlength=count) > 0
         marks = mix(sums + mix(np.arange(count, dtype=_U) + (_U(level) << _U(44))))
-        out.append(marks if count - full.sum() > spare else marks[full])
+        out.append(marks if count - full.sum() > spare + 1 - AGREE else marks[full])
     return np.concatenate(out) if out else np.zeros(0, _U)
 
 
@@ -181,16 +182,14 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     parts = part_rows(df, key, reps, shingle, near).repartition("part")
     shared = parts.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1")
     shared = written(parts.join(shared.select("part", "hub"), "part"), "parts")
-    member = written(shared.groupBy("rep").agg(F.min("hub").alias("hub")), "hubs")
-    for _ in range(JUMPS):  # a hub's own hub, so that one family of texts makes few groups
-        further = member.select(F.col("rep").alias("hub"), F.col("hub").alias("further"))
-        member = member.join(further, "hub", "left").select("rep", F.coalesce("further", "hub").alias("hub"))
+    member = shared.groupBy("rep").agg(F.min("hub").alias("hub"))
     number = member.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).alias("splits"))
     member = member.join(number, "hub")
     member = member.select("rep", F.xxhash64("hub", F.pmod(F.xxhash64("rep"), "splits")).alias("grp"))
     member = written(member.join(reps.select("rep", "copies"), "rep"), "members")
     columns = shared.join(member.select("rep", "grp"), "rep").select("part", "grp").distinct()
-    pairs = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp <= other").select("grp", "other").distinct()
+    pairs = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp <= other")
+    pairs = pairs.groupBy("grp", "other").agg(F.count("*").alias("agree")).where(F.col("agree") >= AGREE)
     tokens = candidate_tokens(df, key, member, shingle).dropDuplicates(["key"])
     groups = member.join(tokens, F.col("rep") == F.col("key")).groupBy("grp")
     groups = written(groups.agg(F.collect_list(F.struct("rep", "copies", "tokens")).alias("sets")), "groups")
