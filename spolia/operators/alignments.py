@@ -15,6 +15,13 @@ def clean_alignments(df: DataFrame) -> DataFrame:
     return df.drop("_corrupt_record").na.drop().distinct()
 
 
+def split_misfits(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Alignments whose values all fit their types, and the others (none if the source cannot have any)."""
+    if "_misfit" not in df.columns:
+        return df, None
+    return df.where(F.col("_misfit").isNull()).drop("_misfit"), df.where(F.col("_misfit").isNotNull())
+
+
 def split_unequal(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Alignments with equally long sides, and the others, which no statistic is defined for."""
     same = F.length("s1") == F.length("s2")

@@ -15,18 +15,31 @@ def pairwise_tables(
     both_directions: bool = False,
     fmt: str | None = None,
     kernel: str = "builtin",
+    columns: list[str] | None = None,
+    rejects_path: str | None = None,
 ) -> DataFrame:
     """Write the pairwise tables of an alignment dataset.
 
-    Returns the alignments left out because their sides differ in length.
+    Returns the alignments left out because their sides differ in length.  Rows with values that do not fit the types
+    are written to `rejects_path` (default: `out_path` with "-rejects").  `columns` spares a pass over JSON.
     """
-    cleaned = al.clean_alignments(readers.read_alignments(spark, in_path, fmt))
-    usable, unequal = al.split_unequal(cleaned)
+    fitting = fitting_alignments(spark, in_path, rejects_path or f"{out_path.rstrip('/')}-rejects", fmt, columns)
+    usable, unequal = al.split_unequal(al.clean_alignments(fitting))
     stats = al.alignment_stats(usable, kernel)
     writers.write_pairwise(pw.bidirectional(stats) if both_directions else stats, out_path)
     return unequal
 
 
+def fitting_alignments(
+    spark: SparkSession, in_path: str, rejects_path: str, fmt: str | None = None, columns: list[str] | None = None
+) -> DataFrame:
+    """The alignments whose values fit their types; the others are written to `rejects_path` as JSON."""
+    fitting, misfits = al.split_misfits(readers.read_alignments(spark, in_path, fmt, columns, misfits=True))
+    if misfits is not None:
+        misfits.write.mode("overwrite").json(rejects_path)
+    return fitting
+
+
 def mirror_tables(spark: SparkSession, in_path: str, out_path: str, recompute: bool = False) -> None:
     """Write existing pairwise tables in both directions to a new place.
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spolia import config
 from spolia.operators import bookstats
 from spolia.operators.alignments import clean_alignments, split_unequal
+from spolia.plans.pairwise import fitting_alignments
 from spolia.sources import readers, writers
 
 
@@ -22,10 +23,17 @@ def book_statistics(
     compat: bool = True,
     single_file: bool = False,
     kernel: str = "builtin",
+    columns: list[str] | None = None,
+    rejects_path: str | None = None,
 ) -> None:
-    """Write the book-pair table as gzipped TSV."""
+    """Write the book-pair table as gzipped TSV.
+
+    Alignments with values that do not fit the types are written to `rejects_path` (default: `out_path` with
+    "-rejects"); `data_quality` tells what else is left out.  `columns` spares a pass over JSON.
+    """
+    rejects_path = rejects_path or f"{out_path.rstrip('/')}-rejects"
     stats = bookstats.book_pair_stats(
-        readers.read_alignments(spark, alignments_path, fmt),
+        fitting_alignments(spark, alignments_path, rejects_path, fmt, columns),
         readers.read_records(spark, records_path),
         readers.read_metadata(spark, metadata_path),
         ms_len, offset_mode, compat, kernel,

@@ -66,20 +66,39 @@ def _json_columns(spark: SparkSession, path: str) -> list[str]:
     return [row["key"] for row in found]
 
 
+def _fitted(raw: DataFrame) -> DataFrame:
+    """Columns of strings in their types, and `_misfit`: names of the columns whose value does not fit, null if none."""
+    columns, failed = [], []
+    for field in schemas.typed_schema(raw.columns).fields:
+        name, kind = field.name, field.dataType.simpleString()
+        value = F.col(name)
+        if kind in ("int", "bigint"):  # whole numbers may be written with a decimal point
+            number = value.try_cast("decimal(38,6)")
+            value = F.when(number == F.floor(number), number.try_cast(kind))
+        elif kind != "string":
+            value = value.try_cast(kind)
+        columns.append(value.alias(name))
+        failed.append(F.when(F.col(name).isNotNull() & value.isNull(), name))
+    return raw.select(*columns, F.nullif(F.concat_ws(",", *failed), F.lit("")).alias("_misfit"))
+
+
 def read_alignments(
-    spark: SparkSession, path: str, fmt: str | None = None, columns: list[str] | None = None
+    spark: SparkSession, path: str, fmt: str | None = None, columns: list[str] | None = None, misfits: bool = False
 ) -> DataFrame:
     """Alignments as JSON lines, Parquet or TSV with header (format from the path suffix).
 
     The schema covers the columns that are really there: a column absent from the whole
     dataset must not read as null, since rows with nulls are dropped later.  For JSON this
-    takes a pass over the data unless `columns` names them.
+    takes a pass over the data unless `columns` names them.  A JSON value that does not fit its column's type reads as
+    null; with `misfits` a column `_misfit` tells such rows from those that had a null.
     """
     fmt = fmt or _format_of(path)
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "json":
-        df = spark.read.schema(schemas.typed_schema(columns or _json_columns(spark, path))).json(path)
+        names = columns or _json_columns(spark, path)
+        df = _fitted(spark.read.schema(", ".join(f"`{n}` string" for n in names)).json(path))
+        df = df if misfits else df.drop("_misfit")
     elif fmt == "csv":
         df = read_tsv(spark, path)
     else:

@@ -346,3 +346,32 @@ def test_mirror_twice(spark, tmp_path):
     once = pw.bidirectional(df)
     assert sorted(pw.bidirectional(pw.one_direction(once)).collect()) == sorted(once.collect())
     assert sorted(pw.one_direction(df).collect()) == sorted(df.collect())
+
+
+def test_values_that_do_not_fit_are_reported(spark, tmp_path):
+    row = next(r for r in make_alignments() if len(r["s1"]) == len(r["s2"]))
+    rows = [row, row | {"uid1": 501, "matches": 3.0}, row | {"uid1": 502, "b1": 2**31}, row | {"uid1": 503, "gid1": 2**63 + 5}]
+    (tmp_path / "a.json").mkdir()
+    (tmp_path / "a.json" / "p.json").write_text("\n".join(json.dumps(r) for r in rows))
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    pairwise_plan.pairwise_tables(spark, str(tmp_path / "a.json"), out, rejects_path=rejects)
+    assert {r.uid1 for r in readers.read_pairwise(spark, out).collect()} == {row["uid1"], 501}
+    assert {(r.uid1, r._misfit) for r in spark.read.json(rejects).collect()} == {(502, "b1"), (503, "gid1")}
+
+
+def test_corrupt_records_are_left_out(spark):
+    rows = [tuple(r[f.name] for f in schemas.ALIGNMENTS.fields) for r in make_alignments(4)]
+    df = spark.createDataFrame(rows, schemas.ALIGNMENTS)
+    marked = df.withColumn("_corrupt_record", F.lit(None).cast("string"))
+    assert al.clean_alignments(marked).count() == df.distinct().count()
+
+
+def test_book_statistics_are_ordered(spark, inputs, tmp_path):
+    root, rows = inputs
+    out = str(tmp_path / "stats")
+    stats_plan.book_statistics(spark, str(root / "records"), str(root / "align.parquet"), str(root / "meta.tsv"), out, single_file=True)
+    got = spark.read.csv(out, sep="\t", header=True).collect()
+    keys = [(r._T1, r._T2) for r in got]
+    assert keys == sorted(keys) and len(keys) > 2
+    want = brute_stats(rows, True, "inclusive")
+    assert {(r._T1, r._T2) for r in got} == {(a[0], b[0]) for a, b in want} or len(got) == len(want)
