@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks import oracle as o
+from spolia.config import MS_LEN, TOKEN_CLASS
 
 _COPIES = "generate_series(1, CASE WHEN uid1 > uid2 THEN 2 ELSE 1 END)"
 _OVERLAP = f"replace(text, {o.NL}, ' mms12s34' || {o.NL})"
@@ -46,6 +47,21 @@ def expected() -> dict[str, str]:
             WHERE version IN (SELECT id FROM vmeta WHERE status = 'pri')"""),
         "select_version": q(o.FILES, o.CHOSEN, select=f"""SELECT file_name, ext, part,
             '######Text#' || {o.NL} || {o.NL} || '#META#Header#End#' || {o.NL} || {o.NL} || text || {o.NL} AS value FROM chosen"""),
+        "version_per_folder": q(o.FILES, select=f"""SELECT 'f' || (doc_id % 3) || '/' || file_name AS path,
+            '######Text#' || {o.NL} || {o.NL} || '#META#Header#End#' || {o.NL} || {o.NL} || text || {o.NL} AS value FROM (
+              SELECT *, row_number() OVER (PARTITION BY doc_id % 3, book_uri, version, part ORDER BY
+                CASE ext WHEN 'mARkdown' THEN 1 WHEN 'completed' THEN 2 WHEN 'inProgress' THEN 3 ELSE 4 END) AS rk FROM files) WHERE rk = 1"""),
+        "export_rejects": q(o.FILES, o.CHOSEN, select="""SELECT file_name,
+            CASE WHEN doc_lang = 'fr' THEN 'missing splitter' ELSE 'other part rejected' END AS reason FROM chosen c
+            WHERE doc_lang = 'fr' OR part IS NOT NULL AND EXISTS (SELECT 1 FROM chosen p WHERE p.book_uri = c.book_uri
+              AND p.version = c.version AND p.part IS NOT NULL AND p.doc_lang = 'fr')"""),
+        "milestones_default": rf"""
+            WITH pieces AS (SELECT doc_id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS pos FROM (
+                SELECT doc_id, regexp_extract_all(translate(text, 'aeiounsrtdlhmcbgpvyw', 'إيءىأؤئآلدلهمكبـغَُِ'),
+                  '[{o.WORD}]+|[^{o.WORD}]+') AS ps FROM documents)),
+              placed AS (SELECT *, 1 + CAST(floor(coalesce(sum(CASE WHEN regexp_matches(piece, '[{TOKEN_CLASS}]') THEN 1 ELSE 0 END)
+                OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / {MS_LEN}) AS BIGINT) AS n FROM pieces)
+            SELECT doc_id, n, string_agg(piece, '' ORDER BY pos) AS text FROM placed GROUP BY doc_id, n""",
         "merge_parts": q(o.FILES, o.CHOSEN, o.MERGED, select="SELECT series, book_uri, version, body FROM merged"),
         "corpus_log": q(o.FILES, o.CHOSEN, select="""SELECT series AS book_id,
             CASE WHEN series IN (SELECT series FROM files WHERE ext IS NULL AND part IS NULL
@@ -109,6 +125,7 @@ def expected() -> dict[str, str]:
         "flip_recompute": q(o.ALIGNMENTS, o.words(2, False), o.W_COUNT.replace("words1", "words2"),
             select="""SELECT uid2 AS uid1, uid1 AS uid2, b2 AS b1, b1 AS b2, w_match FROM alignments JOIN wc USING (uid1, uid2, b1, b2)"""),
         "bidirectional": q(o.ALIGNMENTS, o.words(1, False), o.W_COUNT, o.STATS, select=_BOTH),
+        "bidirectional_again": q(o.ALIGNMENTS, o.words(1, False), o.W_COUNT, o.STATS, select=_BOTH),
         "pairwise_table": q(*_CLEANED, o.words(1, False), o.W_COUNT, o.STATS, select=_BOTH),
         "pair_counts": q(o.ALIGNMENTS, select="""SELECT series1, series2, count(matches) AS instances, min(matches) AS matches_min,
             max(matches) AS matches_max, avg(matches) AS matches_mean FROM alignments GROUP BY series1, series2"""),

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import tables as t
+from spolia import config
 from spolia.config import CorpusConfig
 from spolia.functions import align, text as txt, uri
 from spolia.operators import alignments as al, bookstats as bs, corpus, milestones as ms, pairwise as pw, records as rec
@@ -59,6 +60,23 @@ def select_version(spark, d):
     return corpus.select_version(t.corpus_files(spark, d)).select("file_name", "ext", "part", "value")
 
 
+@query
+def version_per_folder(spark, d):
+    """Documents dealt to three folders; a version is chosen in each."""
+    files = t.corpus_files(spark, d).withColumn("path", F.concat(F.lit("f"), F.expr("doc_id % 3"), F.lit("/"), "file_name"))
+    return corpus.select_version(files, by_folder=True).select("path", "value")
+
+
+@query
+def export_rejects(spark, d):
+    """French documents have no splitter; some of them are parts of books."""
+    files = t.corpus_files(spark, d).withColumn(
+        "value", F.when(F.col("doc_lang") == "fr", F.replace("value", F.lit(config.SPLITTER), F.lit(""))).otherwise(F.col("value"))
+    )
+    judged = corpus.with_reason(corpus.select_version(files, files.drop("value")))
+    return judged.where("reason is not null").select("file_name", "reason")
+
+
 @query
 def merge_parts(spark, d):
     return corpus.merge_parts(corpus.with_body(corpus.select_version(t.corpus_files(spark, d)))).select(
@@ -124,6 +142,14 @@ def assign_milestones(spark, d):
     )
 
 
+@query
+def milestones_default(spark, d):
+    """Default length and token class over texts whose letters are Arabic ones, vowel marks and tatweel among them."""
+    arabic = F.translate("text", "aeiounsrtdlhmcbgpvyw", "إيءىأؤئآلدلهمكبـغَُِ")
+    cut = t.documents(spark, d).select("doc_id", txt.cut_milestones(arabic).alias("milestones"))
+    return exploded(cut, ["doc_id"], "milestones", "i", "text").select("doc_id", (F.col("i") + 1).cast("bigint").alias("n"), "text")
+
+
 @query
 def milestone_labels(spark, d):
     return ms.milestone_rows(ms.continue_numbering(_cut(spark, d))).select(
@@ -284,6 +310,12 @@ def bidirectional(spark, d):
     return pw.bidirectional(al.alignment_stats(t.alignments(spark, d)))
 
 
+@query
+def bidirectional_again(spark, d):
+    """Tables in both directions, mirrored once more."""
+    return pw.bidirectional(pw.one_direction(bidirectional(spark, d)))
+
+
 @query
 def pairwise_table(spark, d):
     """Raw alignments to the two-directional pairwise table."""
