@@ -182,17 +182,22 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     parts = part_rows(df, key, reps, shingle, near).repartition("part")
     shared = parts.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1")
     shared = written(parts.join(shared.select("part", "hub"), "part"), "parts")
-    member = shared.groupBy("rep").agg(F.min("hub").alias("hub"))
+    # A set that shares fewer parts than AGREE with all others together is similar to none.
+    enough = shared.groupBy("rep").agg(F.count("*").alias("parts")).where(F.col("parts") >= AGREE).select("rep")
+    shared = written(shared.join(enough, "rep").select("rep", "part"), "shared")
+    hubs = shared.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1").select("part", "hub")
+    shared = shared.join(hubs, "part")
+    member = shared.groupBy("rep").agg(F.min("hub").alias("hub"), F.count("*").alias("parts")).where(F.col("parts") >= AGREE).drop("parts")
     number = member.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).alias("splits"))
     member = member.join(number, "hub")
     member = member.select("rep", F.xxhash64("hub", F.pmod(F.xxhash64("rep"), "splits")).alias("grp"))
     member = written(member.join(reps.select("rep", "copies"), "rep"), "members")
     columns = shared.join(member.select("rep", "grp"), "rep").select("part", "grp").distinct()
-    pairs = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp <= other")
+    pairs = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp < other")
     pairs = pairs.groupBy("grp", "other").agg(F.count("*").alias("agree")).where(F.col("agree") >= AGREE)
-    tokens = candidate_tokens(df, key, member, shingle).dropDuplicates(["key"])
+    tokens = candidate_tokens(df, key, member, shingle)
     groups = member.join(tokens, F.col("rep") == F.col("key")).groupBy("grp")
-    groups = written(groups.agg(F.collect_list(F.struct("rep", "copies", "tokens")).alias("sets")), "groups")
+    groups = written(groups.agg(F.collect_set(F.struct("rep", "copies", "tokens")).alias("sets")), "groups")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,10 +225,10 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
                     yield pa.record_batch([pa.array(ids[some]), pa.array(n[some]), pa.array(low[parent][some])], ["rep", "n", "low"])
 
     other = groups.select(F.col("grp").alias("other"), F.col("sets").alias("two"))
-    met = pairs.join(groups, "grp").join(other, "other")
-    met = met.select(F.col("sets").alias("one"), F.when(F.col("grp") != F.col("other"), F.col("two")).alias("two"))
-    with batch_rows(df.sparkSession, 16):
-        return written(met.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
+    met = pairs.join(groups, "grp").join(other, "other").select(F.col("sets").alias("one"), "two")
+    alone = groups.where(F.size("sets") > 1).select(F.col("sets").alias("one"), F.lit(None).cast(groups.schema["sets"].dataType).alias("two"))
+    with batch_rows(df.sparkSession, 2):
+        return written(met.union(alone).mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
 
 
 def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int = NEAR) -> DataFrame:
