@@ -151,3 +151,28 @@ def test_sample_texts(spark):
         got = to_records(explode_milestones(texts)).orderBy("pos").drop("pos").collect()
         want = spark.read.json(str(records[f"{series}-{config.CHUNK_ROWS:05d}"])).collect()
         assert [(r.id, r.series, r.text, r.seq) for r in got] == [(r.id, r.series, r.text, r.seq) for r in want]
+
+
+def test_default_class_and_length(spark):
+    """Arabic words with vowel marks and tatweel, cut by the defaults, against a plain statement."""
+    import random
+
+    import regex
+
+    rng = random.Random(12)
+    letters = list("ابجدهوزحطيكلمنسعفصقرشتثخذضظغء") + ["ـ", "َ", "ِ", "ّ"]
+    rows = []
+    for k in range(6):
+        words = ["".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(rng.choice([0, 299, 300, 301, 700]))]
+        rows.append((k, rng.choice(["", "... "]) + "".join(w + rng.choice([" ", "\n", ". ", " 12 ", " x-y "]) for w in words)))
+    df = spark.createDataFrame(rows, "k int, text string")
+    got = {r.k: r.ms for r in df.select("k", txt.cut_milestones(F.col("text")).alias("ms")).collect()}
+    for k, text in rows:
+        want, n, piece_of = [""], 0, f"[{config.WORD_CLASS}]+|[^{config.WORD_CLASS}]+"
+        for piece in regex.findall(piece_of, text):
+            if n == config.MS_LEN:
+                want.append("")
+                n = 0
+            want[-1] += piece
+            n += bool(regex.search(f"[{config.TOKEN_CLASS}]", piece))
+        assert got[k] == ([] if text == "" else want)
