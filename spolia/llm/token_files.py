@@ -25,7 +25,7 @@ from spolia.llm.chunks import ChunkCache, byte_letters, byte_names, packed
 from spolia.llm.common import filled, map_arrow, slices
 from spolia.llm.elias_fano import EliasFano
 
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 600_000
 SHARD_IDS = 4_000_000  # a shard is closed when it has this many ids
 SHARD = "part int, seq int, n_docs bigint, n_ids bigint, width int, ids binary, bounds binary, keys array<{key}>"
 
