@@ -26,7 +26,7 @@ from spolia.llm.shingles import _BYTE, mix, powers
 from spolia.llm.suffix_groups import suffix_order
 
 WINDOW, GRAM = 200, 40
-MOST_CONTEXTS = 2000
+MOST_CONTEXTS = 20_000
 BATCH_BYTES = 1 << 18  # contexts of whole anchors are sorted together up to about this size
 FILTER_WORDS = 1 << 18  # 64-bit words of the filters of fixed size
 _U = np.uint64
