@@ -26,6 +26,8 @@ from spolia.llm.shingles import joined, mix, shingle_hashes
 
 SHINGLE, NEAR = 3, 90
 GROUP = 256
+PIECE = 1 << 18  # bytes of text that are hashed at once
+TEXT_ROWS, GROUP_ROWS = 500, 2  # rows of an Arrow batch
 AGREE = 3  # parts that two similar sets have in common at least
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter that spares texts without candidates the shuffle; fixed size
 
@@ -99,7 +101,7 @@ def sets_of(df: DataFrame, key: str, shingle: int) -> DataFrame:
         columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(x, pa.int64()) for x in sums]]
         return pa.record_batch(columns, ["key", "n", "s1", "s2"])
 
-    return map_arrow(rows, work, "key bigint, n bigint, s1 bigint, s2 bigint", most_bytes=1 << 20)
+    return map_arrow(rows, work, "key bigint, n bigint, s1 bigint, s2 bigint", most_bytes=PIECE)
 
 
 def _filter_bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,10 +128,10 @@ def likely(df: DataFrame, key: str, reps: DataFrame, shingle: int, work: Callabl
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("key"), filled().alias("text"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text", 4 << 20):
+        for piece in slices(batches, "text", 4 * PIECE):
             where, bit = _filter_bits(piece.column(0).to_numpy())
             piece = piece.filter(pa.array(shared.value[where] & bit != 0))
-            for part in slices(iter([piece]), "text", 1 << 20):
+            for part in slices(iter([piece]), "text", PIECE):
                 yield work(part.column(0), token_sets([t.encode() for t in part.column(1).to_pylist()], shingle))
 
     return rows.mapInArrow(each, schema)
@@ -227,7 +229,7 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     other = groups.select(F.col("grp").alias("other"), F.col("sets").alias("two"))
     met = pairs.join(groups, "grp").join(other, "other").select(F.col("sets").alias("one"), "two")
     alone = groups.where(F.size("sets") > 1).select(F.col("sets").alias("one"), F.lit(None).cast(groups.schema["sets"].dataType).alias("two"))
-    with batch_rows(df.sparkSession, 2):
+    with batch_rows(df.sparkSession, GROUP_ROWS):
         return written(met.union(alone).mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
 
 
@@ -238,10 +240,12 @@ def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int =
     a null key has no component but its own (null) and takes part in none; rows with equal keys and different texts are
     rows of their own, and a component is named by its smallest key.  An empty table gives an empty result.
     """
-    sets = written(sets_of(df, key, shingle), "sets")
+    with batch_rows(df.sparkSession, TEXT_ROWS):
+        sets = written(sets_of(df, key, shingle), "sets")
     linkable = sets.where("n > 0 and key is not null")
     of_set = linkable.groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
-    linked = linked_sets(df, of_set.select("rep", "copies"), key, shingle, near)
+    with batch_rows(df.sparkSession, TEXT_ROWS):
+        linked = linked_sets(df, of_set.select("rep", "copies"), key, shingle, near)
     of_set = of_set.join(linked.groupBy("rep").agg(F.sum("n").alias("others")), "rep", "left")
     named = components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b")))
     of_set = of_set.join(named.withColumnRenamed("node", "rep"), "rep", "left")

@@ -230,7 +230,7 @@ def scores(df: DataFrame, model: ClassModels, keep: tuple[str, ...] = ("doc_id",
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Scorer(shared.value)
-        for piece in slices(batches, "scored", 1 << 20):
+        for piece in slices(batches, "scored", 1 << 18):
             found = of.features([x.encode() for x in piece.column(len(keep)).to_pylist()])
             score = pa.array([of.model.probability(f) for f in found], pa.float64())
             yield pa.record_batch([*piece.columns[: len(keep)], score], [*names, "score"])
