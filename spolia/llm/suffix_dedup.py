@@ -26,7 +26,8 @@ from spolia.llm.shingles import _BYTE, mix, powers
 from spolia.llm.suffix_groups import suffix_order
 
 WINDOW, GRAM = 200, 40
-MOST_CONTEXTS = 20_000
+MOST_CONTEXTS = 6000
+TEXT_ROWS = 500  # rows of an Arrow batch
 BATCH_BYTES = 1 << 18  # contexts of whole anchors are sorted together up to about this size
 FILTER_WORDS = 1 << 18  # 64-bit words of the filters of fixed size
 _U = np.uint64
@@ -259,15 +260,8 @@ def _counted_ranges(cut: DataFrame) -> DataFrame:
     return each.join(again, ["w1", "w2"]).select("anchor", "whole", "first", F.lit(1).cast("bigint").alias("size"))
 
 
-def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`key`, `n_bytes`, `n_removed`, `n_spans`, `kept` (the bytes that are left) of every row.
-
-    Null counts as empty.  Rows are told apart by their position in the input, so `df` must give its rows in the same
-    order each time it is read, as files do.  Repeated rows are repetitions like any others; texts below the window
-    stay whole; an empty table gives an empty result.
-    """
-    rows = df.select(F.col(key).alias("key"), filled(text).alias("text")).withColumn("uid", F.monotonically_increasing_id())
-    texts = rows.select("uid", "text")
+def _covered(texts: DataFrame) -> DataFrame:
+    """`uid`, `spans`: places of the repeated windows of each text (`uid`, `text`) that has any."""
     found = written(_contexts_of(texts), "contexts")
     again = written(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     found = written(likely(found, "anchor", again).join(again, "anchor", "left_semi"), "places")
@@ -278,10 +272,22 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     settled = once.where("least > 1").select("anchor", "whole", F.lit(0).cast("bigint").alias("first"), F.col("windows").alias("size"))
     once = once.where("least = 1")
     cut = written(_cut_out(texts, once), "cut")
-    with batch_rows(df.sparkSession, 2000):
-        ranges = written(_sorted_ranges(cut).union(_counted_ranges(cut)).union(settled), "ranges")
+    ranges = written(_sorted_ranges(cut).union(_counted_ranges(cut)).union(settled), "ranges")
     covered = found.join(ranges, ["anchor", "whole"]).select("uid", (F.col("start") + F.col("first")).alias("a"), (F.col("size") + WINDOW - 1).alias("n"))
-    covered = written(covered.groupBy("uid").agg(F.collect_list(F.struct("a", "n")).alias("spans")), "covered")
+    return written(covered.groupBy("uid").agg(F.collect_list(F.struct("a", "n")).alias("spans")), "covered")
+
+
+def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`key`, `n_bytes`, `n_removed`, `n_spans`, `kept` (the bytes that are left) of every row.
+
+    Null counts as empty.  Rows are told apart by their position in the input, so `df` must give its rows in the same
+    order each time it is read, as files do.  Repeated rows are repetitions like any others; texts below the window
+    stay whole; an empty table gives an empty result.
+    """
+    rows = df.select(F.col(key).alias("key"), filled(text).alias("text")).withColumn("uid", F.monotonically_increasing_id())
+    texts = rows.select("uid", "text")
+    with batch_rows(df.sparkSession, TEXT_ROWS):
+        covered = _covered(texts)
 
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
