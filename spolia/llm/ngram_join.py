@@ -25,7 +25,7 @@ from spolia.llm.components import components, roots
 from spolia.llm.shingles import joined, mix, shingle_hashes
 
 SHINGLE, NEAR = 3, 90
-GROUP = 256
+GROUP = 128
 PIECE = 1 << 18  # bytes of text that are hashed at once
 TEXT_ROWS, GROUP_ROWS = 500, 2  # rows of an Arrow batch
 AGREE = 3  # parts that two similar sets have in common at least

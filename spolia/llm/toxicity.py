@@ -26,7 +26,7 @@ DISCOUNT = 2.0
 TOP = 4
 FEATURES = 4
 ROWS_PER_CLASS = 4000  # at most so many labelled rows of each class train the model
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 START, END = b"\x02", b"\x03"
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
