@@ -111,3 +111,20 @@ def test_small_tables(spark):
     held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
     (row,) = L.score(spark.createDataFrame([(held, "a b")], "doc_id bigint, text string"), PATH, PATTERN).collect()
     assert (row.n_known, row.train_tokens, row.base_score) == (0, 0, 0.0) and math.isfinite(row.score)
+
+
+def test_attention_learns_from_all_training_texts(spark, monkeypatch):
+    monkeypatch.setattr(L, "SHARD_SYMBOLS", 2000)
+    rows = [(k, f"the {chr(0x4E00 + k)} of") for k in range(1600)]  # the middle one in this text only
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    learned = df.where(~L.held_out())
+    model = L.fit(df, L.word_counts(learned.select("text")), PATH, PATTERN)
+    words = [w for r in learned.collect() for w in L.word_list(r.text)]
+    tokens, _ = L.split_words(words, PATH, PATTERN)
+    assert (model.classes[tokens] < A.CLASSES - 2).all()
+    shards = L.shards_of(learned.select("text"), model.words, PATH, PATTERN)
+    totals = np.bincount(tokens, minlength=len(model.classes)).astype(float)
+    totals[-1] = model.ends
+    near = L.class_neighbours(shards, totals)
+    the = tokens[0]
+    assert near[the][A.frequent_of(totals)[-1]] == model.ends  # the end of a text, or its beginning, before every "the"
