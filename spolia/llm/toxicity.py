@@ -127,14 +127,14 @@ class ClassModels:
         total = ratios.sum()
         return np.array([total / n, total / np.sqrt(n), top[-1] / 2, top.sum() / (2 * TOP)])
 
-    def fit(self, features: np.ndarray, labels: np.ndarray, rounds: int = 30) -> None:
-        """Ridge logistic regression by Newton steps."""
+    def fit(self, features: np.ndarray, labels: np.ndarray, times: np.ndarray, rounds: int = 30) -> None:
+        """Ridge logistic regression by Newton steps; each row counts `times`."""
         x = np.hstack([features, np.ones((len(features), 1))])
         ridge = np.diag([1e-2] * FEATURES + [1e-6])
         w = np.zeros(FEATURES + 1)
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (p - labels) + ridge @ w)
+            step = np.linalg.solve(x.T @ (x * (times * p * (1 - p))[:, None]) + ridge, x.T @ (times * (p - labels)) + ridge @ w)
             w -= step
             if np.abs(step).max() < 1e-8:
                 break
@@ -172,11 +172,13 @@ def train(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PE
     """Counts and logistic regression from at most `rows_per_class` labelled rows of each class, whole texts.
 
     The rows are those of the smallest hashes of doc_id among rows that are not held out; half of them are
-    counted, the other half fit the regression.  Rows without label, key or document teach nothing; with one
+    counted, the other half fit the regression, each row of a class for as many as there are of that class for each
+    one taken, so the prior is that of all learnable labels.  Rows without label, key or document teach nothing; with one
     class only (or none) every score is that of the prior.
     """
     named = labels.where(F.col("toxic").isin(0, 1) & ~held_out() & F.col("doc_id").isNotNull())
     named = named.select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("h"))
+    learnable = {r["toxic"]: r["n"] for r in named.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = [named.where(F.col("toxic") == c).orderBy("h", "doc_id").limit(rows_per_class) for c in (1, 0)]
     rows = chosen[0].unionByName(chosen[1]).dropDuplicates(["doc_id"])
     rows = documents.select("doc_id", filled().alias("text")).join(F.broadcast(rows), "doc_id")
@@ -215,7 +217,8 @@ def train(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PE
     toxic = table["toxic"].to_numpy().astype(float)
     order = np.lexsort([*features.T, toxic])
     if len(set(toxic.tolist())) == 2:
-        model.fit(features[order], toxic[order])
+        per_row = [max(1.0, learnable.get(c, 0) / rows_per_class) for c in (0, 1)]
+        model.fit(features[order], toxic[order], np.where(toxic[order] == 1, per_row[1], per_row[0]))
     else:
         model.weights[-1] = 2.0 if len(toxic) and toxic.all() else -2.0
     return model

@@ -73,3 +73,19 @@ def test_empty_and_one_class(spark):
     assert {r.predicted for r in T.judged(docs, none).collect()} == {0}
     assert T.judged(docs.limit(0), none).count() == 0
     assert T.judged(docs, spark.createDataFrame([(1, 0)], "doc_id bigint, toxic int")).count() == 2
+
+
+def test_prior_is_that_of_all_labels_when_ordinary_rows_are_capped(spark):
+    rng = random.Random(7)
+    rows = []
+    for k in range(3000):
+        toxic = k % 8 == 0
+        words = ["".join(rng.choices(["lo", "ra", "mi", "ten", "sho"], k=2)) for _ in range(20)]
+        if rng.random() < (0.6 if toxic else 0.15):
+            words.insert(rng.randint(0, 20), "zorwit")
+        rows.append((k, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id bigint, toxic int")
+    mean = [T.scores(docs, T.train(docs, labels, most)).agg(F.avg("score")).first()[0] for most in (4000, 260)]
+    assert mean[0] == pytest.approx(1 / 8, abs=0.04)
+    assert mean[1] == pytest.approx(mean[0], abs=0.06)
