@@ -5,12 +5,13 @@ epsilon (the distance that belongs to the cosine).  The sorted sequence is cut i
 its bounding box.  Pairs of intervals are opened recursively, FAN parts at a time, from the pair (everything,
 everything) down to pairs of runs, skipping those whose boxes lie further apart than epsilon; each step is an equi-join
 on the interval.  A task gets two runs, goes on in the same way to tiles of TILE vectors, and compares what is left in
-double precision.  Equal vectors enter once with their number.
+double precision.  Equal vectors enter once with their number.  All this is done for each length of vectors apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +50,7 @@ def distinct_vectors(df: DataFrame, key: str, vector: str) -> tuple[DataFrame, D
 
 def principal(distinct: DataFrame) -> np.ndarray:
     """Leading principal directions (columns) of a bounded sample: the vectors of the smallest hashes."""
-    rows = distinct.select("h1", "h2", "v").orderBy("h1", "h2").limit(SAMPLE).toArrow()["v"].to_pylist()
-    size = max(map(len, rows), default=0)
-    rows = [r for r in rows if len(r) == size]
-    if not rows:
-        return np.zeros((0, 0))
-    x = unit(rows)
+    x = unit(distinct.select("h1", "h2", "v").orderBy("h1", "h2").limit(SAMPLE).toArrow()["v"].to_pylist())
     x -= x.mean(axis=0)
     values, directions = np.linalg.eigh(x.T @ x)
     return directions[:, np.argsort(-values)[:DIRECTIONS]]
@@ -67,7 +63,7 @@ def runs(distinct: DataFrame, directions: np.ndarray, epsilon: float) -> DataFra
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [r for r in batch.to_pylist() if len(r["v"]) == width]
+            rows = batch.to_pylist()
             if rows:
                 at = np.floor(unit([r["v"] for r in rows]) @ directions[:, : len(sort_by)] / epsilon).astype(np.int32)
                 yield pa.record_batch([pa.array([r["rep"] for r in rows], pa.int64()), pa.array([r["n"] for r in rows], pa.int64()),
@@ -108,8 +104,8 @@ def near_pairs(boxes: DataFrame, epsilon: float) -> DataFrame:
     count = boxes.count()
     levels = [boxes]
     while count > 1:
-        lows = [F.min(F.col("low")[k]).alias(f"l{k}") for k in range(DIRECTIONS)]
-        highs = [F.max(F.col("high")[k]).alias(f"h{k}") for k in range(DIRECTIONS)]
+        lows = [F.min(F.get("low", F.lit(k))).alias(f"l{k}") for k in range(DIRECTIONS)]
+        highs = [F.max(F.get("high", F.lit(k))).alias(f"h{k}") for k in range(DIRECTIONS)]
         upper = levels[-1].groupBy(F.floor(F.col("rank") / FAN).alias("rank")).agg(*lows, *highs)
         levels.append(upper.select("rank", F.array(*[f"l{k}" for k in range(DIRECTIONS)]).alias("low"),
                                    F.array(*[f"h{k}" for k in range(DIRECTIONS)]).alias("high")))
@@ -167,20 +163,10 @@ def compare(x: np.ndarray, counts: np.ndarray, split: int, directions: np.ndarra
     return links, parent
 
 
-def links(df: DataFrame, cosine: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """`key`, `n_links`, `component_id`, `kept` of every row.
-
-    Rows with equal vectors are linked with each other and share their links.  Null or zero vectors and those with
-    null or non-finite components link with nothing; vectors of another length than most have no links either.
-    Rows with equal keys count as one vector each; a null key is a component of its own.  An empty table gives none.
-    """
-    epsilon = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    distinct, members = distinct_vectors(df, key, vector)
-    distinct = written(distinct, "vectors")
+def linked_vectors(distinct: DataFrame, cosine: float, epsilon: float) -> DataFrame:
+    """`rep`, `n` (links) and `low` (one of its component) of vectors of one length, a row for each pair of runs with links."""
     directions = principal(distinct)
     width = len(directions)
-    if not width:
-        return members.select(F.col("key").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("key").cast("bigint").alias("component_id"), F.lit(True).alias("kept"))
     found = runs(distinct, directions, epsilon)
     pairs = near_pairs(found.select("rank", "low", "high"), epsilon)
     sides = [found.select(*[F.col(c).alias(f"{c}_{s}") for c in ("rank", "reps", "counts", "data")]) for s in "ij"]
@@ -201,8 +187,23 @@ def links(df: DataFrame, cosine: float = 0.95, key: str = "vec_id", vector: str
 
     joined = pairs.join(sides[0], F.col("i") == F.col("rank_i")).join(sides[1], F.col("j") == F.col("rank_j"))
     joined = joined.select("i", "j", "reps_i", "counts_i", "data_i", "reps_j", "counts_j", "data_j")
-    with batch_rows(df.sparkSession, 8):
-        linked = written(joined.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
+    with batch_rows(distinct.sparkSession, 8):
+        return written(joined.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
+
+
+def links(df: DataFrame, cosine: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """`key`, `n_links`, `component_id`, `kept` of every row.
+
+    Rows with equal vectors are linked with each other and share their links.  Null or zero vectors and those with
+    null or non-finite components link with nothing; vectors of different lengths have no links with each other.
+    Rows with equal keys count as one vector each; a null key is a component of its own.  An empty table gives none.
+    """
+    epsilon = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
+    distinct, members = distinct_vectors(df, key, vector)
+    distinct = written(distinct, "vectors")
+    lengths = distinct.groupBy(F.size("v").alias("length")).agg(F.count("*").alias("n")).where("n > 1").orderBy("length").collect()
+    none = df.sparkSession.createDataFrame([], "rep bigint, n bigint, low bigint")
+    linked = reduce(DataFrame.union, [linked_vectors(distinct.where(F.size("v") == r["length"]), cosine, epsilon) for r in lengths], none)
     of_rep = distinct.select("h1", "h2", "rep", (F.col("n") - 1).alias("equal"))
     of_rep = of_rep.join(linked.groupBy("rep").agg(F.sum("n").alias("others")), "rep", "left")
     of_rep = of_rep.join(components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "rep"), "rep", "left")

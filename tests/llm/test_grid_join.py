@@ -55,3 +55,12 @@ def test_small_tables(spark):
     assert G.links(df.limit(0)).count() == 0
     nothing = spark.createDataFrame([(1, None)], "vec_id bigint, embedding array<float>")
     assert [tuple(r) for r in G.links(nothing).collect()] == [(1, 0, 1, True)]
+
+
+@pytest.mark.parametrize("leaf", [2048, 2])
+def test_lengths_are_joined_apart(spark, monkeypatch, leaf):
+    monkeypatch.setattr(G, "LEAF", leaf)
+    vectors = [[1.0, 0.0], [1.0, 0.01], [0.0, 1.0], [1.0, 0.02], [0.0, 1.0], [1.0, 0.0, 0.0], [1.0, 0.0, 0.01], [1.0, 0.0, 0.0, 0.0]]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<float>")
+    assert sorted(map(tuple, G.links(df).collect())) == [
+        (0, 2, 0, True), (1, 2, 0, False), (2, 1, 2, True), (3, 2, 0, False), (4, 1, 2, False), (5, 1, 5, True), (6, 1, 5, False), (7, 0, 7, True)]
