@@ -3,8 +3,9 @@
 Strong findings stand alone: assignments of secrets, access key identifiers and long hexadecimal strings.  Weak
 candidates (user names and other identifiers, assignments under doubtful names and random-looking strings, addresses of
 services) are reported only where complementary parts co-occur: all candidates of a text are intervals, scopes end at
-blank lines, and within a scope each weak candidate is joined with the intervals that start at most `reach`
-characters away.  A weak secret needs an identifier or an endpoint there, a weak identifier a secret, an endpoint both.
+blank lines, and within a scope each weak candidate is joined with the intervals that are at most `reach` characters
+away, from the end of the one to the start of the other: an equi-join on the stretches of SPAN characters they meet,
+then a comparison of the ends.  A weak secret needs an identifier or an endpoint there, a weak identifier a secret, an endpoint both.
 
 Matches are located without Python: the pieces between the matches give their lengths, and running sums the positions.
 """
@@ -16,9 +17,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spolia.llm.common import DOCUMENT_COLUMNS, filled
+from spolia.llm.common import DOCUMENT_COLUMNS, filled, written
 
 REACH = 256
+SPAN = 1024
 MASK = "[secret]"
 _VALUE = r"""["']?\x20*[:=]\x20*["']?"""
 
@@ -61,6 +63,11 @@ def _matches(kind: str, pattern: str) -> Column:
     return F.when(text.rlike(pattern), found)
 
 
+def _stretches(low: Column, high: Column) -> Column:
+    """Numbers of the stretches of SPAN characters from `low` to `high`, a row each."""
+    return F.explode(F.sequence(F.floor(low / SPAN), F.floor(high / SPAN)))
+
+
 def intervals(df: DataFrame, key: str = "doc_id", reach: int = REACH) -> DataFrame:
     """`key`, `mark`, `kind`, `start`, `end`, `found`: every candidate of every text and whether it is reported.
 
@@ -94,14 +101,26 @@ def intervals(df: DataFrame, key: str = "doc_id", reach: int = REACH) -> DataFra
         "covered": F.coalesce(F.max(F.when(strong, F.col("end"))).over(before) > F.col("start"), F.lit(False))
         | F.coalesce(F.min(F.when(strong, F.col("start"))).over(after) < F.col("end"), F.lit(False)),
     }).where("strong or not covered")
-    near = Window.partitionBy(*text, "scope").orderBy("start").rangeBetween(-reach, reach)
-    has = {role: F.max(F.col("part") == role).over(near) for role in ("id", "secret", "endpoint")}
+    names = [*text, "kind", "start", "end"]
+    placed = written(placed.select(*names, "part", "strong", "scope", "copies"), "candidates")
+    has_part = F.col("part").isNotNull()
+    weak = placed.where(~F.col("strong") & has_part).select(*names, "scope", _stretches(F.col("start") - reach, F.col("end") + reach).alias("stretch"))
+    others = placed.where(has_part).withColumn("stretch", _stretches(F.col("start"), F.col("end")))
+    others = others.select(*[F.col(c).alias(f"{c}_o") for c in (*text, "scope", "stretch", "start", "end", "part")])
+    near = F.col("key").eqNullSafe(F.col("key_o")) & (F.col("start_o") <= F.col("end") + reach) & (F.col("end_o") >= F.col("start") - reach)
+    for c in ("mark", "scope", "stretch"):
+        near = near & (F.col(c) == F.col(f"{c}_o"))
+    has = [F.max(F.col("part_o") == role).alias(f"has_{role}") for role in ("id", "secret", "endpoint")]
+    # Each weak candidate meets itself, so none is lost; its own part decides nothing.
+    met = weak.join(others, near).groupBy(*names).agg(*has)
     linked = (
-        F.when(F.col("part") == "secret", has["id"] | has["endpoint"])
-        .when(F.col("part") == "id", has["secret"]).when(F.col("part") == "endpoint", has["id"] & has["secret"])
+        F.when(part == "secret", F.col("has_id") | F.col("has_endpoint"))
+        .when(part == "id", F.col("has_secret")).otherwise(F.col("has_id") & F.col("has_secret"))
     )
-    found = F.col("strong") | F.coalesce(linked, F.lit(False))
-    return placed.select(*text, "kind", "start", "end", "strong", found.alias("found"), F.when(F.col("kind") == "row", F.col("copies")).alias("copies"))
+    met = met.select(*names, F.lit(False).alias("strong"), linked.alias("found"), F.lit(None).cast("bigint").alias("copies"))
+    rest = placed.where(F.col("strong") | ~has_part)
+    rest = rest.select(*names, "strong", F.col("strong").alias("found"), F.when(F.col("kind") == "row", F.col("copies")).alias("copies"))
+    return rest.unionByName(met)
 
 
 def spans(df: DataFrame, key: str = "doc_id", reach: int = REACH) -> DataFrame:

@@ -70,3 +70,15 @@ def test_redaction(spark):
     assert got[2].text == "clean" and got[2].n_chars == 5
     assert got[3].text is None and got[4].text == "[secret]!" and got[None].text == "[secret]"
     assert len(got) == 5
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("auth: " + "Zx81" * 250 + " user=maria", ["key", "id"]),
+    ("user=maria " + "Zx81" * 250 + " https://db.example.org", ["id", "random"]),
+    ("auth: " + "Zx81" * 250 + " " * 257 + "user=maria", []),
+    ("x " * 5000 + "auth: " + "Zx81" * 3000 + " " * 256 + "user=maria", ["key", "id"]),
+])
+def test_long_values_reach_from_their_ends(spark, text, kinds):
+    (row,) = S.scan(spark.createDataFrame([(None, text)], "doc_id bigint, text string")).collect()
+    assert [s.split(":")[0] for s in row.spans.split(",") if s and not s.startswith("random")] == [k for k in kinds if k != "random"]
+    assert ("random" in row.spans) == bool(kinds)
