@@ -280,11 +280,12 @@ def _covered(texts: DataFrame) -> DataFrame:
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key`, `n_bytes`, `n_removed`, `n_spans`, `kept` (the bytes that are left) of every row.
 
-    Null counts as empty.  Rows are told apart by their position in the input, so `df` must give its rows in the same
-    order each time it is read, as files do.  Repeated rows are repetitions like any others; texts below the window
+    Null counts as empty.  Rows are numbered once and written with their numbers; all later jobs read these files, so
+    it does not matter in which order or parts `df` gives its rows another time.  Repeated rows are repetitions like any others; texts below the window
     stay whole; an empty table gives an empty result.
     """
     rows = df.select(F.col(key).alias("key"), filled(text).alias("text")).withColumn("uid", F.monotonically_increasing_id())
+    rows = written(rows, "texts")
     texts = rows.select("uid", "text")
     with batch_rows(df.sparkSession, TEXT_ROWS):
         covered = _covered(texts)

@@ -71,3 +71,21 @@ def test_small_tables(spark):
     df = spark.createDataFrame([(1, "a" * 400), (2, None)], "doc_id bigint, text string")
     assert {tuple(r)[:4] for r in D.digest(df).collect()} == {(1, 400, 400, 1), (2, 0, 0, 0)}
     assert D.digest(df.limit(0)).count() == 0
+
+
+def test_other_splits_between_jobs(spark, monkeypatch, tmp_path):
+    texts = corpus(4)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3).write.parquet(str(tmp_path / "texts"))
+    inner, name = D._cut_out, "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+
+    def later(*of):
+        spark.conf.set(name, "0")  # the files are cut into other parts from here on
+        return inner(*of)
+
+    monkeypatch.setattr(D, "_cut_out", later)
+    try:
+        got = [tuple(r)[1:] for r in D.digest(spark.read.parquet(str(tmp_path / "texts"))).collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(got) == sorted(brute(texts))
