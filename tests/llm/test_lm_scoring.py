@@ -128,3 +128,21 @@ def test_attention_learns_from_all_training_texts(spark, monkeypatch):
     near = L.class_neighbours(shards, totals)
     the = tokens[0]
     assert near[the][A.frequent_of(totals)[-1]] == model.ends  # the end of a text, or its beginning, before every "the"
+
+
+def test_long_unbroken_texts_keep_their_cost(spark):
+    rng = random.Random(8)
+    long = "".join(rng.choices("abcdefghij0123456789", k=50_000))
+    df = spark.createDataFrame(corpus(60, 3), "doc_id bigint, text string")
+    model = L.fit(df, L.word_counts(df.where(~L.held_out()).select("text")), PATH, PATTERN)
+    log = []
+    for text in (long, long[:5_000]):
+        tokens, lengths = L.split_words([text.encode()], PATH, PATTERN)
+        logs, _ = model.word_logs(lengths, tokens, np.array([0, 1]))
+        log.append(float(model.mixed(logs, np.zeros(1))[0]))
+    assert log[0] < 8 * log[1] < -8 * 305
+    assert model.mixed(np.array([-3000.0]), np.array([5.0]))[0] == pytest.approx(math.log10((1 - model.mixture) * 6 / (model.n + model.v + 1)))
+    keys = [k for k in range(5000, 5100) if zlib.crc32(str(k).encode()) % 7 == 2][:2]
+    both = df.union(spark.createDataFrame([(keys[0], long), (keys[1], long[:5_000])], df.schema))
+    got = {r.doc_id: r.score for r in L.score(both, PATH, PATTERN).collect()}
+    assert got[keys[0]] < 8 * got[keys[1]] < -8 * 305
