@@ -209,7 +209,7 @@ def corpus_bands(rows: DataFrame, bands: Bands) -> DataFrame:
     """
     values = ["fertility", "fallback", "entropy"]
     rows = rows.where("n_tokens > 0").select("band", "class", *values).distinct()
-    quartiles = [F.percentile_approx(v, [0.25, 0.5, 0.75], 10_000).alias(v) for v in values]
+    quartiles = [F.percentile_approx(v, [0.25, 0.5, 0.75], 1000).alias(v) for v in values]
     found = rows.groupBy("band", "class").agg(F.count("*").alias("size"), *quartiles)
     chance = 1 / F.sqrt(F.pow(F.lit(2.0), F.col("class")) * 1.4)
     wider = 1 + 10 / F.col("size")

@@ -112,10 +112,10 @@ def test_quartiles_against_exact_ones(spark):
     (r,) = Q.corpus_bands(df, bands).collect()
     values = sorted(x[4] for x in rows)
     wide = bands.entropy * (1 + 10 / 801)
-    assert r.low_entropy == pytest.approx(median(values) - wide * (values[600] - values[400]) / 0.6745, abs=0.02)
+    assert r.low_entropy == pytest.approx(median(values) - wide * (values[600] - values[400]) / 0.6745, abs=0.1)
     values = sorted(x[2] for x in rows)
     wide = bands.fertility * (1 + 10 / 801)
-    assert r.high_fertility == pytest.approx(median(values) + wide * (values[600] - values[200]) / 1.349, abs=0.02)
+    assert r.high_fertility == pytest.approx(median(values) + wide * (values[600] - values[200]) / 1.349, abs=0.1)
 
 
 def test_script_stands_for_missing_languages(spark):
