@@ -1,6 +1,7 @@
-"""Built-in expressions against row-at-a-time Python functions: `python -m checks.versus_udf SF_DIR`.
+"""Built-in expressions against row-at-a-time Python functions: `python -m checks.versus_udf SF_DIR [TIMES]`.
 
-The Python functions state the same results in the plainest way; results are compared first.
+The Python functions state the same results in the plainest way; results are compared first.  TIMES repeats the
+alignments.
 """
 
 from __future__ import annotations
@@ -55,7 +56,8 @@ if __name__ == "__main__":
     )
     spark.sparkContext.setLogLevel("ERROR")
     docs = t.documents(spark, sys.argv[1]).select("text").cache()
-    pairs = t.alignments(spark, sys.argv[1]).select("s1", "s2").repartition(8).cache()
+    times = int(sys.argv[2]) if len(sys.argv) > 2 else 1
+    pairs = t.alignments(spark, sys.argv[1]).select("s1", "s2").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(times)))).repartition(8).cache()
     print("documents", docs.count(), "alignments", pairs.count(), flush=True)
     text, s1, s2 = F.col("text"), F.col("s1"), F.col("s2")
     builtin = txt.cut_milestones(text, t.MS_LEN, t.TOKEN_CLASS)
@@ -63,9 +65,7 @@ if __name__ == "__main__":
     assert docs.where(builtin != by_udf).count() == 0
     print("milestones: built-in", timed(docs.select(builtin)), "python", timed(docs.select(by_udf)), flush=True)
     stats = {
-        kernel: pairs.withColumn("m", align.diff_mask(s1, s2, kernel)).select(
-            align.ch_match_of(F.col("m")), align.w_match_of(F.col("m"))
-        )
+        kernel: pairs.withColumn("m", align.counts(s1, s2, kernel)).select("m.ch", "m.w1")
         for kernel in ("builtin", "arrow")
     }
     python = pairs.select(F.udf(equal, "int")(s1, s2), F.udf(words, "int")(s1, s2))

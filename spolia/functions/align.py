@@ -6,6 +6,8 @@ character exactly once, by `diff_mask`; every other figure is read off the mask.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyspark.sql.functions as F
 from pyspark.sql import Column
 
@@ -74,6 +76,74 @@ def w_match_of(mask: Column, side: int = 1) -> Column:
     return F.length(F.replace(word_bits(mask, side), F.lit("0"), F.lit("")))
 
 
+def counts(s1: Column, s2: Column, kernel: str = "arrow") -> Column:
+    """`struct<ch, ch_all, w1, w2>`: equal characters without and with blanks, matched words of either side.
+
+    One comparison gives all four; null unless both strings have the same length.
+    """
+    if kernel == "arrow":
+        from spolia.functions import arrow_kernel
+
+        same_length = F.length(s1) == F.length(s2)
+        return F.when(same_length, arrow_kernel.counts()(s1, F.when(same_length, s2).otherwise(s1)))
+    return _of_mask(diff_mask(s1, s2, kernel), _counts_of)
+
+
+def _of_mask(mask: Column, figures: Callable[[Column], list[Column]]) -> Column:
+    """A struct of figures of a mask that is computed once; null where the mask is."""
+    return F.transform(F.array(mask), lambda m: F.when(m.isNotNull(), F.struct(*figures(m))))[0]
+
+
+def _counts_of(mask: Column) -> list[Column]:
+    return [
+        ch_match_of(mask).alias("ch"), ch_match_of(mask, False).alias("ch_all"),
+        w_match_of(mask).alias("w1"), w_match_of(mask, 2).alias("w2"),
+    ]
+
+
+def marks(s1: Column, s2: Column, kernel: str = "arrow") -> Column:
+    """`counts`, and `chars`, `words1`, `words2`: the matched characters and words as `bit_words`.
+
+    A line break counts as a blank.  A passage of n characters leaves n / 8 bytes of marks.
+    """
+    if kernel == "arrow":
+        from spolia.functions import arrow_kernel
+
+        same_length = F.length(s1) == F.length(s2)
+        return F.when(same_length, arrow_kernel.marks(newlines=True)(s1, F.when(same_length, s2).otherwise(s1)))
+    return _of_mask(diff_mask(newline_to_space(s1), newline_to_space(s2), kernel), lambda m: _counts_of(m) + _sets_of(m))
+
+
+def _sets_of(mask: Column) -> list[Column]:
+    return [bit_words(char_bits(mask)).alias("chars"), *[bit_words(word_bits(mask, s)).alias(f"words{s}") for s in (1, 2)]]
+
+
+def bit_words(bits: Column) -> Column:
+    """A string of digits as `array<bigint>`: digit i is bit i % 64, from the least on, of element i / 64."""
+    return F.transform(
+        F.regexp_extract_all(bits, F.lit(".{1,64}"), 0), lambda digits: F.conv(F.reverse(digits), 2, -10).cast("bigint")
+    )
+
+
+def placed_words(words: Column, first: Column) -> Column:
+    """`bit_words` that begin at position `first`, as words of absolute positions: see `packed_positions`.
+
+    Bit i stands for position `first + i`; position p is bit p % 64 of the word `p div 64`.
+    """
+    shift = F.pmod(first, F.lit(_WORD_BITS)).cast("int")
+    base = F.shiftright(first, 6)
+    open_end = F.concat(words, F.array(F.lit(0).cast("bigint")))
+
+    def placed(word: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(words, i - 1)).otherwise(F.lit(0).cast("bigint"))
+        carried = F.when(shift > 0, F.call_function("shiftrightunsigned", before, _WORD_BITS - shift)).otherwise(F.lit(0).cast("bigint"))
+        return F.struct(
+            (base + i.cast("bigint")).alias("word"), F.call_function("shiftleft", word, shift).bitwiseOR(carried).alias("bits")
+        )
+
+    return F.filter(F.transform(open_end, placed), lambda w: w["bits"] != 0)
+
+
 def ch_match(s1: Column, s2: Column, exclude_spaces: bool = True, kernel: str = "builtin") -> Column:
     """Number of equal characters of an alignment, blanks left out on request."""
     return ch_match_of(diff_mask(s1, s2, kernel), exclude_spaces)

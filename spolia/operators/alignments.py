@@ -28,19 +28,19 @@ def split_unequal(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(same), df.where(~same)
 
 
-def alignment_stats(df: DataFrame, kernel: str = "builtin") -> DataFrame:
+def alignment_stats(df: DataFrame, kernel: str = "arrow") -> DataFrame:
     """Add match statistics and the copies `series_b1`, `series_b2` of the pair key."""
     return (
-        df.withColumn("_mask", align.diff_mask(F.col("s1"), F.col("s2"), kernel))
+        df.withColumn("_counts", align.counts(F.col("s1"), F.col("s2"), kernel))
         .withColumns(
             {
-                "ch_match": align.ch_match_of(F.col("_mask")),
+                "ch_match": F.col("_counts.ch"),
                 "align_len": align.align_len(F.col("s1")),
                 "matches_percent": align.matches_percent(F.col("matches"), F.length("s1")),
-                "w_match": align.w_match_of(F.col("_mask")),
+                "w_match": F.col("_counts.w1"),
                 "series_b1": F.col("series1"),
                 "series_b2": F.col("series2"),
             }
         )
-        .drop("_mask")
+        .drop("_counts")
     )

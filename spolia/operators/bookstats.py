@@ -1,7 +1,7 @@
 """Statistics per book pair.
 
-Order of work: compare the passages (map side, leaving one mask byte per character),
-attach milestone offsets, pack the matched positions, unite them per pair, and only then
+Order of work: compare the passages (map side, leaving one bit per character), attach
+milestone offsets, shift the bits to their places, unite them per pair, and only then
 look up metadata.  No step gathers the positions of a pair in one place: a pair is spread
 over its 64-position words and reunited as counts.
 """
@@ -14,7 +14,6 @@ from spolia import config, schemas
 from spolia.functions import align
 from spolia.functions.chrono import chrono
 from spolia.functions.uri import short_id
-from spolia.operators.alignments import clean_alignments
 
 OFFSET_BLOCK = 4096
 _META_COLUMNS = ("tok_length", "char_length", "date", "author_lat", "book")
@@ -87,22 +86,35 @@ def join_metadata(pairs: DataFrame, metadata: DataFrame) -> DataFrame:
     return pairs
 
 
-def compared(alignments: DataFrame, kernel: str = "builtin") -> DataFrame:
-    """Alignments reduced to keys, numbers and the comparison mask.
+def compared(alignments: DataFrame, kernel: str = "arrow", kept: tuple[str, ...] = ()) -> DataFrame:
+    """Alignments reduced to keys, numbers and the marks of the comparison (and the columns `kept`).
 
-    Sides of different length have no mask and are left out, see `split_unequal`.
+    Sides of different length have no marks and are left out, see `split_unequal`.  Marks are counted from the
+    passage's own start, so they need no offset: what goes into the later shuffles is a bit per character.
     """
-    mask = align.diff_mask(align.newline_to_space(F.col("s1")), align.newline_to_space(F.col("s2")), kernel)
     return alignments.where(F.length("s1") == F.length("s2")).select(
         short_id(F.col("series1")).alias("_T1"),
         short_id(F.col("series2")).alias("_T2"),
         F.col("seq1").cast("bigint").alias("seq1"),
         F.col("seq2").cast("bigint").alias("seq2"),
         "b1", "b2", "bw1", "bw2", "matches",
-        mask.alias("mask"),
+        align.marks(F.col("s1"), F.col("s2"), kernel).alias("marks"),
+        *kept,
     )
 
 
+def compared_once(alignments: DataFrame, kernel: str = "arrow") -> DataFrame:
+    """`compared` of the rows of `clean_alignments`, without moving their texts.
+
+    Rows that repeat are told by 128 bits of hash over all their columns; what the shuffle holds is that and
+    the narrow rows.
+    """
+    rows = alignments.drop("_corrupt_record").na.drop()
+    columns = rows.columns
+    keyed = rows.withColumns({"_h1": F.xxhash64(*columns), "_h2": F.xxhash64(*reversed(columns), F.lit(1))})
+    return compared(keyed, kernel, ("_h1", "_h2")).distinct().drop("_h1", "_h2")
+
+
 def join_offsets(alignments: DataFrame, records: DataFrame, mode: str = "inclusive") -> DataFrame:
     """Attach `ch_offset1`, `ch_offset2` to rows with `_T1, seq1, _T2, seq2`.
 
@@ -145,45 +157,28 @@ def duplicate_milestones(records: DataFrame) -> DataFrame:
     )
 
 
-def _with_bits(joined: DataFrame) -> DataFrame:
-    """Add the matched words of either side and the matched characters as digit strings."""
-    return joined.withColumns(
-        {
-            "w_bits1": align.word_bits(F.col("mask"), 1),
-            "w_bits2": align.word_bits(F.col("mask"), 2),
-            "c_bits": align.char_bits(F.col("mask")),
-        }
-    )
-
-
-def _packed(kind: str, bits: Column, first: Column, compat: bool) -> Column:
-    """Packed positions of one kind; with `compat` an empty set leaves a mark instead."""
-    packed = F.transform(
-        align.packed_positions(bits, first),
+def _placed(kind: str, words: str, count: str, first: Column, compat: bool) -> Column:
+    """Matched positions of one kind; with `compat` an empty set leaves a mark instead."""
+    found = F.transform(
+        align.placed_words(F.col(f"marks.{words}"), first),
         lambda w: F.struct(F.lit(_KINDS[kind]).alias("kind"), w["word"].alias("word"), w["bits"].alias("bits")),
     )
     if not compat:
-        return packed
+        return found
     mark = F.struct(
         F.lit(_KINDS[kind]).alias("kind"), F.lit(_EMPTY_WORD).alias("word"), F.lit(1).cast("bigint").alias("bits")
     )
-    return F.concat(packed, F.when(F.contains(bits, F.lit("1")), F.array()).otherwise(F.array(mark)))
+    return F.concat(found, F.when(F.col(f"marks.{count}") > 0, F.array()).otherwise(F.array(mark)))
 
 
 def _position_sets(with_chars: bool, ms_len: int, compat: bool) -> list[Column]:
     sets = [
-        _packed(
-            f"WM{side}",
-            F.col(f"w_bits{side}"),
-            align.first_word(F.col(f"seq{side}"), F.col(f"bw{side}"), ms_len),
-            compat,
-        )
-        for side in (1, 2)
+        _placed(f"WM{s}", f"words{s}", f"w{s}", align.first_word(F.col(f"seq{s}"), F.col(f"bw{s}"), ms_len), compat)
+        for s in (1, 2)
     ]
     if with_chars:
         sets += [
-            _packed(f"CM{side}", F.col("c_bits"), F.col(f"ch_offset{side}") + F.col(f"b{side}"), compat)
-            for side in (1, 2)
+            _placed(f"CM{s}", "chars", "ch_all", F.col(f"ch_offset{s}") + F.col(f"b{s}"), compat) for s in (1, 2)
         ]
     return sets
 
@@ -204,8 +199,7 @@ def matched_totals(joined: DataFrame, ms_len: int = config.MS_LEN, compat: bool
     slots = F.concat(summary, *_position_sets(with_chars, ms_len, compat))
     matches = F.when(F.col("slot.kind") == 0, F.col("matches"))
     by_word = (
-        _with_bits(joined)
-        .select("_T1", "_T2", "matches", F.explode(slots).alias("slot"))
+        joined.select("_T1", "_T2", "matches", F.explode(slots).alias("slot"))
         .groupBy("_T1", "_T2", F.col("slot.kind").alias("kind"), F.col("slot.word").alias("word"))
         .agg(
             F.bit_or("slot.bits").alias("bits"),
@@ -260,10 +254,10 @@ def book_pair_stats(
     ms_len: int = config.MS_LEN,
     offset_mode: str = "inclusive",
     compat: bool = True,
-    kernel: str = "builtin",
+    kernel: str = "arrow",
 ) -> DataFrame:
     """The full book-pair table, one row per pair of short version IDs."""
-    joined = join_offsets(compared(clean_alignments(alignments), kernel), records, offset_mode)
+    joined = join_offsets(compared_once(alignments, kernel), records, offset_mode)
     stats = join_metadata(matched_totals(joined, ms_len, compat), metadata)
     return with_chrono(with_ratios(stats)).select(*schemas.BOOK_STATS_COLUMNS)
 
@@ -274,12 +268,12 @@ def positions_len_stats(joined: DataFrame, compat: bool = True) -> DataFrame:
     `joined` is the output of `compared`.  With `compat` an alignment without a match
     counts as one position.
     """
-    def size(bits: str) -> Column:
-        n = F.regexp_count(bits, F.lit("1"))
+    def size(count: str) -> Column:
+        n = F.col(f"marks.{count}")
         return F.greatest(n, F.lit(1)) if compat else n
 
-    sizes = {"words1": size("w_bits1"), "words2": size("w_bits2"), "chars": size("c_bits")}
+    sizes = {"words1": size("w1"), "words2": size("w2"), "chars": size("ch_all")}
     summaries = {"min": F.min, "max": F.max, "mean": F.avg}
-    return _with_bits(joined).withColumns(sizes).groupBy("_T1", "_T2").agg(
+    return joined.withColumns(sizes).groupBy("_T1", "_T2").agg(
         *[f(c).alias(f"{c}_{name}") for c in sizes for name, f in summaries.items()]
     )

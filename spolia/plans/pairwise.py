@@ -14,7 +14,7 @@ def pairwise_tables(
     out_path: str,
     both_directions: bool = False,
     fmt: str | None = None,
-    kernel: str = "builtin",
+    kernel: str = "arrow",
     columns: list[str] | None = None,
     rejects_path: str | None = None,
 ) -> DataFrame:

@@ -22,7 +22,7 @@ def book_statistics(
     offset_mode: str = "inclusive",
     compat: bool = True,
     single_file: bool = False,
-    kernel: str = "builtin",
+    kernel: str = "arrow",
     columns: list[str] | None = None,
     rejects_path: str | None = None,
 ) -> None:
@@ -53,7 +53,7 @@ def data_quality(
     cleaned = clean_alignments(readers.read_alignments(spark, alignments_path, fmt))
     usable, unequal = split_unequal(cleaned)
     records = readers.read_records(spark, records_path)
-    keys = bookstats.compared(usable).drop("mask")
+    keys = bookstats.compared(usable).drop("marks")
     return {
         "lost": bookstats.lost_alignments(keys, records),
         "shared": bookstats.duplicate_milestones(records),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spolia import config, schemas
 from spolia.functions.uri import with_uri
+from spolia.operators.once import computed_once
 
 
 def read_texts(spark: SparkSession, path: str, name_regex: str = config.FILE_NAME) -> DataFrame:
@@ -67,8 +68,12 @@ def _json_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def _fitted(raw: DataFrame) -> DataFrame:
-    """Columns of strings in their types, and `_misfit`: names of the columns whose value does not fit, null if none."""
-    columns, failed = [], []
+    """Columns of strings in their types, and `_misfit`: names of the columns whose value does not fit, null if none.
+
+    Behind a generator: a filter on `_misfit` that is pushed into the projection names every column's expression, and
+    the optimizer would then state it anew for each subset of the columns.
+    """
+    columns, failed = {}, []
     for field in schemas.typed_schema(raw.columns).fields:
         name, kind = field.name, field.dataType.simpleString()
         value = F.col(name)
@@ -77,9 +82,9 @@ def _fitted(raw: DataFrame) -> DataFrame:
             value = F.when(number == F.floor(number), number.try_cast(kind))
         elif kind != "string":
             value = value.try_cast(kind)
-        columns.append(value.alias(name))
+        columns[name] = value
         failed.append(F.when(F.col(name).isNotNull() & value.isNull(), name))
-    return raw.select(*columns, F.nullif(F.concat_ws(",", *failed), F.lit("")).alias("_misfit"))
+    return computed_once(raw, columns | {"_misfit": F.nullif(F.concat_ws(",", *failed), F.lit(""))})
 
 
 def read_alignments(

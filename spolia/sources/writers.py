@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spolia import config, schemas
 from spolia.operators.records import with_chunk
@@ -82,14 +84,43 @@ def write_pairwise(df: DataFrame, path: str) -> None:
 def write_book_stats(stats: DataFrame, path: str, single_file: bool = False) -> None:
     """Gzipped TSV ordered by `_T1, _T2`.
 
-    The order is global over the files; `single_file` sends all rows through one task.
+    The order is global over the files.  `single_file` puts them together as members of one gzip file, which readers
+    take as one: the rows are still sorted and compressed by many tasks, and only bytes are copied.
     """
-    ordered = (
-        stats.coalesce(1).sortWithinPartitions("_T1", "_T2")
-        if single_file
-        else stats.repartitionByRange("_T1", "_T2").sortWithinPartitions("_T1", "_T2")
-    )
-    ordered.write.mode("overwrite").options(**TSV, compression="gzip").csv(path)
+    ordered = stats.repartitionByRange("_T1", "_T2").sortWithinPartitions("_T1", "_T2")
+    options = TSV | {"compression": "gzip"}
+    if not single_file:
+        ordered.write.mode("overwrite").options(**options).csv(path)
+        return
+    spark, parts = stats.sparkSession, f"{path.rstrip('/')}-members-{uuid.uuid4().hex}"
+    header = spark.createDataFrame([tuple(stats.columns)], ", ".join(f"`{c}` string" for c in stats.columns))
+    header.coalesce(1).write.options(**options | {"header": False}).csv(f"{parts}/header")
+    ordered.write.options(**options | {"header": False}).csv(f"{parts}/rows")
+    join_files(spark, [f"{parts}/header", f"{parts}/rows"], f"{path.rstrip('/')}/part-00000.csv.gz")
+
+
+def join_files(spark: SparkSession, folders: list[str], target: str) -> None:
+    """The part files of the folders, in order, as one file; the folders are removed, other files beside it too.
+
+    Bytes are copied through a buffer, on whatever file system Spark writes to.
+    """
+    hadoop = spark._jvm.org.apache.hadoop
+    conf = spark._jsc.hadoopConfiguration()
+    goal = hadoop.fs.Path(target)
+    fs = goal.getFileSystem(conf)
+    fs.delete(goal.getParent(), True)
+    out = fs.create(goal, True)
+    try:
+        for folder in folders:
+            found = fs.globStatus(hadoop.fs.Path(f"{folder}/part-*"))
+            for name in sorted(status.getPath().toString() for status in found):
+                part = fs.open(hadoop.fs.Path(name))
+                hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+                part.close()
+    finally:
+        out.close()
+    for folder in folders:
+        fs.delete(hadoop.fs.Path(folder).getParent(), True)
 
 
 def write_log(log: DataFrame, path: str) -> None:

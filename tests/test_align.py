@@ -70,6 +70,41 @@ def test_other_side_of_mask(pairs):
         assert r.w == len(matched_words(r.s2, r.s1))
 
 
+@pytest.mark.parametrize("kernel", ["builtin", "arrow"])
+def test_counts_in_one_comparison(pairs, kernel):
+    rows = pairs.select("s1", "s2", align.counts(F.col("s1"), F.col("s2"), kernel).alias("c")).collect()
+    for r in rows:
+        chars = matched_chars(r.s1, r.s2)
+        plain = len([i for i in chars if r.s1[i] != " "]), len(chars), len(matched_words(r.s1, r.s2)), len(matched_words(r.s2, r.s1))
+        assert tuple(r.c) == plain
+
+
+def unpacked(words, first=0):
+    return [first + 64 * k + i for k, w in enumerate(words) for i in range(64) if w >> i & 1]
+
+
+@pytest.mark.parametrize("kernel", ["builtin", "arrow"])
+def test_marks(pairs, kernel):
+    """Line breaks are blanks; the bits begin at the passage and are moved to their places."""
+    for first in (0, 1, 63, 64, 1000, -5):
+        marks = pairs.select("s1", "s2", align.marks(F.col("s1"), F.col("s2"), kernel).alias("m"))
+        rows = marks.select("*", align.placed_words(F.col("m.chars"), F.lit(first).cast("bigint")).alias("p")).collect()
+        for r in rows:
+            a, b = r.s1.replace("\n", " "), r.s2.replace("\n", " ")
+            assert unpacked(r.m.chars) == matched_chars(a, b)
+            assert unpacked(r.m.words1) == [k - 1 for k in matched_words(a, b)]
+            assert unpacked(r.m.words2) == [k - 1 for k in matched_words(b, a)]
+            assert (r.m.ch_all, r.m.w1, r.m.w2) == (len(matched_chars(a, b)), len(matched_words(a, b)), len(matched_words(b, a)))
+            assert [x for w in r.p for x in unpacked([w.bits], 64 * w.word)] == [first + i for i in matched_chars(a, b)]
+
+
+def test_unequal_and_missing_sides_have_no_marks(spark):
+    df = spark.createDataFrame([("ab", "abc"), (None, "a"), (None, None), ("a", "a")], "s1 string, s2 string")
+    for kernel in ("builtin", "arrow"):
+        rows = df.select(align.counts(F.col("s1"), F.col("s2"), kernel).alias("c"), align.marks(F.col("s1"), F.col("s2"), kernel).alias("m")).collect()
+        assert [r.c is None and r.m is None for r in rows] == [True, True, True, False]
+
+
 def test_packed_positions(pairs):
     mask = align.diff_mask(F.col("s1"), F.col("s2"))
     for first in (0, 1, 63, 64, 1000, -5):

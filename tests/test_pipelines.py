@@ -206,6 +206,30 @@ def test_book_pair_stats(spark, inputs, compat, mode, kernel):
     assert (ab.chrono_B1B2, ab.chrono_B2B1) == ("sr_include", "sr_exclude")
 
 
+def test_statistics_with_a_milestone_that_everything_quotes(spark):
+    """A third of all alignments share one milestone, and half of those are written twice."""
+    rows = []
+    for i, r in enumerate(make_alignments(240)):
+        if len(r["s1"]) != len(r["s2"]) or "D" in (r["series1"][0], r["series2"][0]):
+            continue
+        r = r | (dict(series1="A-eng1", series2="B-eng1", seq1=2, seq2=1) if i % 3 == 0 else {})
+        rows.append(r)
+    doubled = rows + [r for i, r in enumerate(rows) if i % 6 == 0]
+    same = [r | {"score": 2.5} for r in rows[:9]]  # another alignment of the same passage counts
+    df = spark.createDataFrame([tuple(r[f.name] for f in schemas.ALIGNMENTS.fields) for r in doubled + same], schemas.ALIGNMENTS)
+    records = spark.createDataFrame(RECORDS, "id string, series string, seq bigint, text string")
+    meta = spark.createDataFrame(META, "id string, tok_length string, char_length string, date string, author_lat string, book string")
+    stats = bs.book_pair_stats(df.repartition(6), records, meta)
+    got = {(r._T1, r._T2): (r.instances, r.WM1_Total, r.WM2_Total, r.CM1_Total, r.CM2_Total,
+                            r.ch_MATCHES_Min, r.ch_MATCHES_Max, r.ch_MATCHES_Mean) for r in stats.collect()}
+    assert got == brute_stats(rows + same, True, "inclusive")
+    plan = stats._jdf.queryExecution().optimizedPlan().toString()
+    assert "marks" in plan
+    # the texts end where they are compared: nothing above the grouping by digest knows them
+    above = plan.split("Aggregate [_T1")[1].split("\n")[0]
+    assert "s1#" not in above and "s2#" not in above
+
+
 def test_book_statistics_files(spark, inputs, tmp_path):
     root, rows = inputs
     for single in (True, False):
@@ -215,6 +239,11 @@ def test_book_statistics_files(spark, inputs, tmp_path):
         )
         back = spark.read.csv(out, sep="\t", header=True)
         assert tuple(back.columns) == schemas.BOOK_STATS_COLUMNS
+        pairs = [(r._T1, r._T2) for r in back.collect()]
+        files = [p.name for p in (tmp_path / f"stats{single}").iterdir() if not p.name.startswith((".", "_"))]
+        if single:
+            assert files == ["part-00000.csv.gz"] and pairs == sorted(pairs)
+            assert [p.name for p in tmp_path.iterdir() if "members" in p.name] == []
         assert back.count() == len(brute_stats(rows, True, "inclusive"))
     report = stats_plan.data_quality(spark, str(root / "records"), str(root / "align.json"))
     assert report["unequal"].count() == 1 and report["shared"].count() == 0
