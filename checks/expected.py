@@ -80,6 +80,8 @@ def expected() -> dict[str, str]:
             count(*) AS n, CAST(min(pos) - 1 AS INTEGER) AS first_pos FROM pieces GROUP BY piece"""),
         "assign_milestones": q(o.FILES, o.MILESTONES, select="""SELECT file_name, n, text,
             CAST(relevant AS INTEGER) AS relevant FROM ms"""),
+        "range_milestones": q(o.FILES, o.MILESTONES, select="""SELECT file_name, n, text,
+            CAST(relevant AS INTEGER) AS relevant FROM ms"""),
         "milestone_labels": q(*_MS, select="SELECT file_name, n, ms_label FROM labelled"),
         "continue_numbering": q(*_MS, select="""SELECT s.file_name, CAST(start AS BIGINT) AS start,
             CAST(coalesce(n_ms, 0) AS INTEGER) AS n_ms FROM starts s LEFT JOIN counts USING (file_name)"""),

@@ -10,7 +10,7 @@ from checks import tables as t
 from spolia import config
 from spolia.config import CorpusConfig
 from spolia.functions import align, text as txt, uri
-from spolia.operators import alignments as al, bookstats as bs, corpus, milestones as ms, pairwise as pw, records as rec
+from spolia.operators import alignments as al, bookstats as bs, corpus, milestones as ms, pairwise as pw, ranges as rg, records as rec
 from spolia.operators.once import computed_once, exploded
 from spolia.plans import prepare
 
@@ -142,6 +142,14 @@ def assign_milestones(spark, d):
     )
 
 
+@query
+def range_milestones(spark, d):
+    """The milestones of `assign_milestones`, from ranges of 400 characters."""
+    ranges = rg.text_ranges(ms.prepare_texts(t.corpus_files(spark, d)), 400)
+    texts = rg.milestone_texts(rg.cut_ranges(ranges, t.MS_LEN, t.TOKEN_CLASS))
+    return texts.select("file_name", "n", "text", txt.relevant_pieces(F.col("text"), t.TOKEN_CLASS).alias("relevant"))
+
+
 @query
 def milestones_default(spark, d):
     """Default length and token class over texts whose letters are Arabic ones, vowel marks and tatweel among them."""

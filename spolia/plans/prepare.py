@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spolia import config
-from spolia.operators import corpus, milestones as ms, records as rec
+from spolia.operators import corpus, milestones as ms, ranges as rg, records as rec
 from spolia.sources import readers, writers
 
 
@@ -110,3 +110,25 @@ def export_records(
     todo = corpus.skip_existing(corpus.merge_parts(sound, settings.by_folder), existing, settings.overwrite)
     writers.write_records(text_records(todo, settings), out_path, settings.chunk_rows, per_series)
     return readers.read_log(spark, log_path)
+
+
+def milestone_ranges(
+    spark: SparkSession,
+    in_path: str,
+    out_path: str,
+    ms_len: int = config.MS_LEN,
+    token_class: str = config.TOKEN_CLASS,
+    name_regex: str = config.FILE_NAME_LOWER_LANG,
+    ms_regex: str | None = config.MS_TAG_SPACED,
+    splitter: str | None = config.SPLITTER,
+) -> DataFrame:
+    """Tagged bodies of texts of any length as Parquet rows `file_name, pos, piece`; returns them read back.
+
+    For corpora with books that no task can hold: files are read, cut and tagged in ranges (`operators.ranges`) and never
+    put together.  Every file is numbered on its own, so books split into parts belong in `insert_milestones`.
+    """
+    lines = readers.read_text_ranges(spark, in_path, name_regex).select("file_name", "pos", "piece")
+    ranges = rg.strip_tags(rg.body_ranges(lines, splitter), ms_regex)
+    tagged = rg.tagged_ranges(ranges, ms_len, token_class)
+    tagged.sortWithinPartitions("file_name", "pos").write.mode("overwrite").parquet(out_path)
+    return spark.read.schema(tagged.schema).parquet(out_path)

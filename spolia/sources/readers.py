@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,6 +28,54 @@ def read_texts(spark: SparkSession, path: str, name_regex: str = config.FILE_NAM
     return with_uri(named)
 
 
+def read_text_ranges(
+    spark: SparkSession, path: str, name_regex: str = config.FILE_NAME, chars: int = 1 << 20, exact: bool = False
+) -> DataFrame:
+    """The files of `read_texts` in many rows: `file_name, path, pos, piece`; in order of `pos` the pieces are the file.
+
+    Spark's line reader deals out one file by byte ranges, so a file of any size is read by many tasks, from any store
+    Spark reads.  A piece is some lines of one byte range, about `chars` characters; a single line must fit in a task.
+    `pos` is the place of the byte range and the piece's number in it (fewer pieces than bytes, so ranges stay
+    apart).  Every piece ends with a line break; with `exact` one that the file does not end with is taken away.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    named = files.where(F.col("_metadata.file_name").rlike(name_regex)).select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"), "value",
+    )
+    pieces = named.mapInArrow(partial(_joined_lines, chars), "file_name string, path string, size bigint, pos bigint, piece string")
+    if exact:
+        ends = pieces.groupBy("path").agg(F.max("pos").alias("pos"), F.sum(F.octet_length("piece")).alias("_bytes"))
+        cut = F.col("_bytes") > F.col("size")
+        pieces = pieces.join(ends, ["path", "pos"], "left").withColumn(
+            "piece", F.when(cut, F.expr("left(piece, length(piece) - 1)")).otherwise(F.col("piece"))
+        )
+    return with_uri(pieces.select("file_name", "path", "pos", "piece"))
+
+
+def _joined_lines(chars: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines put together; the lines of a byte range come one after the other."""
+    at, number = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        paths, starts = batch.column("path").to_pylist(), batch.column("start").to_pylist()
+        size = pc.fill_null(pc.binary_length(batch.column("value")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        filled = np.cumsum(size) // chars
+        cuts = [0, *(k for k in range(1, len(paths)) if filled[k] != filled[k - 1] or starts[k] != starts[k - 1] or paths[k] != paths[k - 1]), len(paths)]
+        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), batch.column("value"))
+        pieces = pc.binary_join_element_wise(pc.binary_join(lists, "\n"), "", "\n")
+        pos = []
+        for k in cuts[:-1]:
+            key = paths[k], starts[k]
+            number = number + 1 if key == at else 0
+            at = key
+            pos.append(starts[k] + number)
+        first = batch.take(pa.array(cuts[:-1]))
+        columns = [first.column("file_name"), first.column("path"), first.column("size"), pa.array(pos, pa.int64()), pieces]
+        yield pa.record_batch(columns, ["file_name", "path", "size", "pos", "piece"])
+
+
 def list_texts(spark: SparkSession, path: str, name_regex: str = config.FILE_NAME) -> DataFrame:
     """The files of `read_texts` without their content, which is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
