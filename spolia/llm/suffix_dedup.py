@@ -317,4 +317,7 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def digest(df: DataFrame) -> DataFrame:
-    return deduplicated(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """Counts and checksum of what is left of each document; written here, so that whole texts go to the workers in small batches."""
+    kept = deduplicated(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    with batch_rows(df.sparkSession, TEXT_ROWS):
+        return written(kept, "digest")
