@@ -179,8 +179,12 @@ def open_group(queries: list[np.ndarray], group: list[np.ndarray], near: int) ->
             yield k, similar
 
 
-def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: int) -> DataFrame:
-    """`rep`, `n` (similar rows with other sets), `low` (a set of the same component) from `rep`, `copies`."""
+def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: int, counts: bool = True) -> DataFrame:
+    """`rep`, `n` (similar rows with other sets), `low` (a set of the same component) from `rep`, `copies`.
+
+    Without `counts` only the components matter (`n` is incomplete): each group first meets one other, and of the
+    remaining pairs of groups those are opened whose sets are not all in one component by then.
+    """
     parts = part_rows(df, key, reps, shingle, near).repartition("part")
     shared = parts.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1")
     shared = written(parts.join(shared.select("part", "hub"), "part"), "parts")
@@ -227,14 +231,30 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
                     yield pa.record_batch([pa.array(ids[some]), pa.array(n[some]), pa.array(low[parent][some])], ["rep", "n", "low"])
 
     other = groups.select(F.col("grp").alias("other"), F.col("sets").alias("two"))
-    met = pairs.join(groups, "grp").join(other, "other").select(F.col("sets").alias("one"), "two")
     alone = groups.where(F.size("sets") > 1).select(F.col("sets").alias("one"), F.lit(None).cast(groups.schema["sets"].dataType).alias("two"))
-    with batch_rows(df.sparkSession, GROUP_ROWS):
-        return written(met.union(alone).mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
-
 
-def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int = NEAR) -> DataFrame:
-    """`key`, `n_shingles`, `n_links` (other rows that link directly), `component_id` of every row.
+    def opened(pairs: DataFrame, *more: DataFrame) -> DataFrame:
+        met = pairs.select("grp", "other").join(groups, "grp").join(other, "other").select(F.col("sets").alias("one"), "two")
+        for rows in more:
+            met = met.union(rows)
+        with batch_rows(df.sparkSession, GROUP_ROWS):
+            return written(met.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
+
+    if counts:
+        return opened(pairs, alone)
+    pairs = written(pairs.select("grp", "other"), "pairs")
+    first = pairs.groupBy("other").agg(F.min("grp").alias("grp"))
+    linked = opened(first, alone)
+    named = components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "rep")
+    member = member.join(named, "rep", "left").select("grp", F.coalesce("component", "rep").alias("component"))
+    inside = written(member.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "inside")
+    rest = pairs.join(first.withColumnRenamed("grp", "done"), "other").where("grp <> done")
+    rest = rest.join(inside, "grp").join(inside.select(F.col("grp").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2")), "other")
+    return linked.union(opened(rest.where("lo <> hi or lo2 <> hi2 or lo <> lo2")))
+
+
+def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int = NEAR, counts: bool = True) -> DataFrame:
+    """`key`, `n_shingles`, `n_links` (other rows that link directly; without `counts` some of them), `component_id` of every row.
 
     Rows with the same set link with each other.  Null or empty texts have an empty set and link with nothing;
     a null key has no component but its own (null) and takes part in none; rows with equal keys and different texts are
@@ -245,7 +265,7 @@ def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int =
     linkable = sets.where("n > 0 and key is not null")
     of_set = linkable.groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
     with batch_rows(df.sparkSession, TEXT_ROWS):
-        linked = linked_sets(df, of_set.select("rep", "copies"), key, shingle, near)
+        linked = linked_sets(df, of_set.select("rep", "copies"), key, shingle, near, counts)
     of_set = of_set.join(linked.groupBy("rep").agg(F.sum("n").alias("others")), "rep", "left")
     named = components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b")))
     of_set = of_set.join(named.withColumnRenamed("node", "rep"), "rep", "left")
@@ -260,5 +280,5 @@ def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int =
 
 def one_of_each(df: DataFrame, columns: tuple[str, ...], shingle: int, near: int, key: str = "doc_id") -> DataFrame:
     """The rows that name their component (the smallest key of each group of near copies), rows without links included."""
-    dropped = join(df, key, shingle, near).where(F.col(key) != F.col("component_id")).select(key).distinct()
+    dropped = join(df, key, shingle, near, counts=False).where(F.col(key) != F.col("component_id")).select(key).distinct()
     return df.join(dropped, key, "left_anti").select(*columns)

@@ -66,6 +66,24 @@ def test_all_links(spark, monkeypatch, seed, group):
     assert sorted((str(r.doc_id), r.n_shingles, r.n_links, str(r.component_id)) for r in got) == brute(rows, 80, 5)
 
 
+@pytest.mark.parametrize("group", [2, 5])
+def test_components_without_counts(spark, monkeypatch, group):
+    """Clusters over many groups: not all pairs of groups are opened, but no component falls apart."""
+    monkeypatch.setattr(N, "GROUP", group)
+    rng = random.Random(group)
+    rows = corpus(9, 120)
+    base = [f"w{k}" for k in range(60)]
+    for k in range(60):  # near copies of one text
+        rows.append((1000 + k, " ".join(base + [f"end{k}"])))
+    chain = [f"c{k}" for k in range(90)]
+    for k in range(40):  # each like the next, the ends unlike
+        rows.append((2000 + k, " ".join([f"n{j}" for j in range(k)] + chain[k:])))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = N.join(df, shingle=5, near=80, counts=False).collect()
+    assert sorted((r.doc_id, str(r.component_id)) for r in got) == sorted((int(k), c) for k, _, _, c in brute(rows, 80, 5))
+
+
 def test_size_classes():
     least = N.size_classes(90)
     for n in [*range(1, 400), 10_000, 123_457]:
