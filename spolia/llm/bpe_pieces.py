@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from spolia.llm.chunks import ChunkCache, byte_letters, packed
 from spolia.llm.common import filled, map_arrow
 
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 200_000
 
 # Field numbers and kinds of the sentencepiece model format.
 _VARINT, _BYTES, _FLOAT = 0, 2, 5
