@@ -35,13 +35,16 @@ class ChunkCache(dict):
     what is asked for again moves back, so frequent words stay.
     """
 
-    def __init__(self, pretoken: Callable[[str], bytes], whole: Callable[[str], bytes], most: int, lead: str = " ") -> None:
-        """`pretoken` encodes one pre-token, `whole` any text; `lead` is what stands before each word."""
+    def __init__(self, pretoken: Callable[[str], bytes], whole: Callable[[str], bytes], most: int, lead: str = " ", apart: tuple[str, ...] = ()) -> None:
+        """`pretoken` encodes one pre-token, `whole` any text; `lead` is what stands before each word.
+
+        Words with one of `apart` (strings without spaces) in them are left to `whole`.
+        """
         super().__init__()
-        self.pretoken, self.whole, self.most, self.lead = pretoken, whole, most, lead
+        self.pretoken, self.whole, self.most, self.lead, self.apart = pretoken, whole, most, lead, apart
         self.old: dict[str, bytes] = {}
         self.ends = {c: pretoken(c) for c in PLAIN_END}
-        self.bare = ChunkCache(pretoken, whole, most // 8, "") if lead else self
+        self.bare = ChunkCache(pretoken, whole, most // 8, "", apart) if lead else self
         self.line = pretoken("\n")
 
     def __missing__(self, word: str) -> bytes:
@@ -59,6 +62,8 @@ class ChunkCache(dict):
     def _new(self, word: str) -> bytes:
         if not word or word[0].isspace() or word[-1].isspace():
             raise _Spaces
+        if any(special in word for special in self.apart):
+            return self.whole(self.lead + word)
         if max(word) < LAST_PLAIN:
             if word.isalpha():
                 return self.pretoken(self.lead + word)

@@ -31,11 +31,13 @@ SHARD = "part int, seq int, n_docs bigint, n_ids bigint, width int, ids binary,
 
 
 class TokenEncoder:
-    """Ids of a text by a tokenizers file, without special tokens; one per Python worker."""
+    """Ids of a text by a tokenizers file, as its library gives them without adding special tokens; one per Python worker.
+
+    A special token's string in a text is that token, so a word that holds one is left to the library.
+    """
 
     def __init__(self, path: str) -> None:
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.size = tokenizer.get_vocab_size()
@@ -45,13 +47,16 @@ class TokenEncoder:
 
         cut = spec.get("pre_tokenizer") or {}
         byte_level = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
-        if byte_level and not spec.get("normalizer") and spec["model"]["type"] == "BPE":
+        added = spec.get("added_tokens") or []
+        apart = tuple(t["content"] for t in added)
+        plain = not any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
+        if byte_level and plain and not spec.get("normalizer") and spec["model"]["type"] == "BPE":
             merge, table = tokenizer.model.tokenize, dict(enumerate(byte_letters()))
 
             def pretoken(piece: str) -> bytes:
                 return packed([t.id for t in merge(byte_names(piece, table))])
 
-            self.encode = ChunkCache(pretoken, whole, CACHED_CHUNKS).encode
+            self.encode = ChunkCache(pretoken, whole, CACHED_CHUNKS, apart=apart).encode
         else:
             self.encode = whole
 
@@ -126,7 +131,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         out = [], [], [], [], [], []
         for row in batch.to_pylist():
             ids = np.frombuffer(row["ids"], f"<u{row['width']}").astype("<u4")
-            bounds = EliasFano.from_bytes(row["bounds"]).all().tolist()
+            code = EliasFano.from_bytes(row["bounds"])
+            bounds = list(map(code.select, range(code.count)))
             view = memoryview(ids).cast("B")
             for k, a, b in zip(row["keys"], bounds, bounds[1:], strict=False):
                 for column, value in zip(out, (row["part"], row["seq"], k, a, b - a, zlib.crc32(view[4 * a : 4 * b])), strict=True):
