@@ -14,26 +14,37 @@ from spolia.llm.common import DOCUMENT_COLUMNS, table, written
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 RANKS = "byte_bpe_50k.tiktoken"
+BATCH_ROWS = 500  # whole texts in an Arrow batch; Spark's default of 10,000 fills an executor
+
+
+def small_batches(spark: SparkSession) -> None:
+    """For the session, as a stage's plan runs when the caller writes it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.accepted(docs, table(spark, sf_dir, "labels"), DOCUMENT_COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return ngram_join.one_of_each(docs, DOCUMENT_COLUMNS, NEAR_WORDS, NEAR_PERCENT)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secret_links.redacted(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.mix(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`doc_id`, `n_tokens`, `ids` (little-endian unsigned 32-bit integers), and checksums of ids and decoded bytes."""
+    small_batches(spark)
     return bpe_pieces.digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep_ids=True)
 
 
