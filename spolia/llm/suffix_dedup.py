@@ -312,8 +312,9 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     some = likely(rows.select("key", "text", "uid"), "uid", covered.select("uid")).join(covered, "uid", "left").select("key", "text", "spans")
     none = likely(rows.select("key", "text", "uid"), "uid", covered.select("uid"), inverted=True)
-    none = none.select("key", "text", F.lit(None).cast(some.schema["spans"].dataType).alias("spans"))
-    return some.mapInArrow(work, schema).union(none.mapInArrow(work, schema)).withColumnRenamed("key", key)
+    whole, zero = F.encode("text", "UTF-8"), F.lit(0).cast("bigint")
+    none = none.select("key", F.octet_length("text").cast("bigint").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), whole.alias("kept"))
+    return some.mapInArrow(work, schema).union(none).withColumnRenamed("key", key)
 
 
 def digest(df: DataFrame) -> DataFrame:

@@ -27,9 +27,24 @@ def suffix_order(symbols: list[int]) -> list[int]:
     top = n - 1
     while top >= 0:
         low = group[order[top]]
+        if low == top:  # a group of one points at one suffix at most
+            s = order[top]
+            p = s - 1
+            while p >= 0 and group[p] >= low:
+                p = smaller[p]
+            smaller[s] = p
+            top -= 1
+            g = group[p]
+            count = size[g]
+            if p >= 0 and count > 1:
+                end, at = g + count - 1, place[p]
+                other = order[end]
+                order[at], order[end] = other, p
+                place[other], place[p] = at, end
+                size[g], size[end], group[p] = count - 1, 1, end
+            continue
         members = order[low : top + 1]
-        if len(members) > 1:
-            members.sort()
+        members.sort()
         pointed: dict[int, int] = {}
         for s in members:
             p = s - 1
