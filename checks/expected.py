@@ -97,6 +97,9 @@ def expected() -> dict[str, str]:
             WHERE reason IS NOT NULL OR (part IS NOT NULL AND any_reason IS NOT NULL)"""),
         "explode_milestones": q(*_MS, select="SELECT file_name, n AS pos, ms_label, text || ' ' AS text FROM labelled"),
         "record_text_clean": "SELECT doc_id, " + _CLEAN.format("translate(text, 'aeiounsrt', 'إيءىأؤئآل')") + " AS text FROM documents",
+        "record_text_folded": "SELECT doc_id, " + _CLEAN.format(
+            "replace(replace(translate(regexp_replace(text, '[aeimg]', '', 'g'), 'nsrtdlhcbp', 'بيكههيؤپچت'), 'o', 'لا'), 'u', 'الله')"
+        ) + " AS text FROM documents",
         "record_chunks": q(*_MS, select="""SELECT series, lpad(CAST(CAST(ceil(n / 10.0) * 10 AS BIGINT) AS VARCHAR), 5, '0') AS chunk,
             count(*) AS n, min(CAST(regexp_replace(ms_label, '[^0-9]', '', 'g') AS BIGINT)) AS seq_min,
             max(CAST(regexp_replace(ms_label, '[^0-9]', '', 'g') AS BIGINT)) AS seq_max

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import tables as t
 from spolia import config
 from spolia.config import CorpusConfig
-from spolia.functions import align, text as txt, uri
+from spolia.functions import align, letters, text as txt, uri
 from spolia.operators import alignments as al, bookstats as bs, corpus, milestones as ms, pairwise as pw, ranges as rg, records as rec
 from spolia.operators.once import computed_once, exploded
 from spolia.plans import prepare
@@ -211,6 +211,13 @@ def record_text_clean(spark, d):
     return t.documents(spark, d).select("doc_id", txt.clean_text(arabic).alias("text"))
 
 
+@query
+def record_text_folded(spark, d):
+    """Some Latin letters are first turned into vowel marks, presentation forms, ligatures and Persian letters."""
+    arabic = F.translate("text", "aeiounsrtdlhmcbgp", "َّـﻻﷲﺑیکھۀےﺆًﭘچ\u200cﺖ")
+    return t.documents(spark, d).select("doc_id", txt.clean_text(letters.fold_letters(arabic)).alias("text"))
+
+
 @query
 def record_chunks(spark, d):
     records = rec.to_records(rec.explode_milestones(_tagged(spark, d).drop("body"), body="tagged"))

@@ -50,5 +50,6 @@ class CorpusConfig:
     chunk_rows: int = CHUNK_ROWS
     primary_only: bool = True
     include_book_uri: bool = False
+    fold: bool = False  # whether vowel marks and Persian letters are folded in records (by default marks become blanks)
     by_folder: bool = False  # whether versions and the parts of books belong together within one folder only
     overwrite: bool = False

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from spolia import config
 from spolia.functions import text as txt
+from spolia.functions.letters import fold_letters
 
 
 def explode_milestones(texts: DataFrame, ms_regex: str = config.MS_TAG, body: str = "body") -> DataFrame:
@@ -28,12 +29,17 @@ def to_records(
     milestones: DataFrame,
     include_book_uri: bool = False,
     extra_map: dict[str, str] | None = None,
+    fold: bool = False,
 ) -> DataFrame:
-    """Record columns `id, series, text, seq[, book_uri]`, plus `pos` for chunking."""
+    """Record columns `id, series, text, seq[, book_uri]`, plus `pos` for chunking.
+
+    With `fold` marks and letter forms are folded before the text is normalised.
+    """
+    text = fold_letters(F.col("text")) if fold else F.col("text")
     columns = [
         F.concat_ws(".", "series", "ms_label").alias("id"),
         F.col("series"),
-        txt.clean_text(F.col("text"), extra_map).alias("text"),
+        txt.clean_text(text, extra_map).alias("text"),
         txt.milestone_seq(F.col("ms_label")).alias("seq"),
     ]
     if include_book_uri:

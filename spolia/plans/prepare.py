@@ -72,7 +72,7 @@ def select_texts(
 def text_records(texts: DataFrame, settings: config.CorpusConfig) -> DataFrame:
     """Records of selected texts."""
     return rec.to_records(
-        rec.explode_milestones(texts, settings.ms_regex), settings.include_book_uri
+        rec.explode_milestones(texts, settings.ms_regex), settings.include_book_uri, fold=settings.fold
     )
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spolia import config
+from spolia.functions.letters import PRESENTATION, fold_letters, fold_presentation
 from spolia.functions import text as txt, uri
 from spolia.functions.chrono import chrono
 
@@ -97,6 +98,36 @@ def test_clean_text(spark):
     assert [r.got for r in df.select(txt.clean_text(F.col("t")).alias("got")).collect()] == [w for _, w in rows]
 
 
+def test_fold_letters(spark):
+    """Marks, tatweel and joiners go; presentation forms and Persian letters become plain ones; the rest stays."""
+    rows = [
+        ("كَتَبَ", "كتب"), ("مُحَمَّـــد", "محمد"), ("می\u200cرود", "ميرود"), ("ﻛﺘﺎﺏ", "كتاب"), ("ﻻ ﷲ", "لا الله"),
+        ("ﷺ", "صلى الله عليه وسلم"), ("پچژگ", "پچژگ"), ("خانۀ ہے", "خانه هي"), ("ﹰ ﱞ x", "  x"), ("ابن", "ابن"),
+        ("a é 12 ö\n", "a é 12 ö\n"), ("", ""), (None, None), ("٣ ۴ أؤئىء", "٣ ۴ أؤئىء"),
+    ]
+    df = spark.createDataFrame([(k, *row) for k, row in enumerate(rows)], "k int, t string, want string")
+    got = df.orderBy("k").select(fold_letters(F.col("t")).alias("got")).collect()
+    assert [r.got for r in got] == [want for _, want in rows]
+
+
+@pytest.mark.parametrize("fold, want", [(True, "كتب لا"), (False, "ك ت ب ﻻ")])
+def test_records_fold_letters_on_request(spark, fold, want):
+    from spolia.operators.records import to_records
+
+    cut = spark.createDataFrame([("S", "ms1", 1, "كَتَب ﻻ")], "series string, ms_label string, pos int, text string")
+    assert to_records(cut, fold=fold).first().text == want
+
+
+def test_every_presentation_form_is_resolved(spark):
+    """One pass over the blocks: no form is left, and each becomes what the Unicode tables say."""
+    import unicodedata
+
+    forms = [chr(c) for first, last in PRESENTATION for c in range(first, last + 1) if unicodedata.normalize("NFKC", chr(c)) != chr(c)]
+    df = spark.createDataFrame([(f,) for f in forms], "form string")
+    for r in df.select("form", fold_presentation(F.col("form")).alias("got")).collect():
+        assert r.got.strip() == unicodedata.normalize("NFKC", r.form).strip()
+
+
 def test_uri(spark):
     names = [
         "0300Author.Title.AB004-ara1", "0300Author.Title.AB004A-ara1.completed", "notes.txt",
