@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +12,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spolia import config, schemas
+from spolia.functions.cells import unescaped_cells
 from spolia.functions.uri import with_uri
 from spolia.operators.once import computed_once
+from spolia.sources.writers import ESCAPED
 
 
 def read_texts(spark: SparkSession, path: str, name_regex: str = config.FILE_NAME) -> DataFrame:
@@ -109,7 +111,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def _format_of(path: str) -> str:
     suffix = path.rstrip("/").rsplit(".", 1)[-1]
-    if suffix not in ("json", "parquet", "csv"):
+    if suffix not in ("json", "parquet", "csv", ESCAPED):
         raise ValueError(f"cannot tell the format of {path}; pass fmt")
     return suffix
 
@@ -144,7 +146,8 @@ def _fitted(raw: DataFrame) -> DataFrame:
 def read_alignments(
     spark: SparkSession, path: str, fmt: str | None = None, columns: list[str] | None = None, misfits: bool = False
 ) -> DataFrame:
-    """Alignments as JSON lines, Parquet or TSV with header (format from the path suffix).
+    """Alignments as JSON lines, Parquet, TSV with header (`csv`, or `tsv` with escaped cells), or, where `columns` names them,
+    comma-separated files without header (`csv`); the format is taken from the path suffix.
 
     The schema covers the columns that are really there: a column absent from the whole
     dataset must not read as null, since rows with nulls are dropped later.  For JSON this
@@ -159,7 +162,9 @@ def read_alignments(
         df = _fitted(spark.read.schema(", ".join(f"`{n}` string" for n in names)).json(path))
         df = df if misfits else df.drop("_misfit")
     elif fmt == "csv":
-        df = read_tsv(spark, path)
+        df = read_plain_csv(spark, path, columns) if columns else read_tsv(spark, path)
+    elif fmt == ESCAPED:
+        df = read_tsv(spark, path, escaped=True)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
     absent = [c for c in schemas.ALIGNMENT_REQUIRED if c not in df.columns]
@@ -168,21 +173,37 @@ def read_alignments(
     return df
 
 
-def read_tsv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Tab-separated file with header; known columns get their type, others are strings.
+def read_tsv(spark: SparkSession, path: str, escaped: bool = False, names: str = "*") -> DataFrame:
+    """Tab-separated files with header; known columns get their type, others are strings.  `names` limits the file names.
 
-    A quoted empty field is an empty string; the null marker only has to differ from it.  Texts hold line breaks, so a
-    file is read as one piece; `multi_line=False` splits large files that have none.
+    A quoted empty field is an empty string; the null marker only has to differ from it.  With `escaped` every row is
+    one line and Spark splits large files; otherwise cells may hold quoted line breaks, so a file is read as one piece.
     """
     reader = spark.read.options(
-        sep="\t", header=True, multiLine=multi_line, quote='"', escape='"', nullValue=r"\N"
+        sep="\t", header=True, multiLine=not escaped, quote='"', escape='"', nullValue=r"\N", pathGlobFilter=names
     )
-    return reader.schema(schemas.typed_schema(reader.csv(path).columns)).csv(path)
+    columns = reader.csv(path).columns
+    df = reader.schema(schemas.typed_schema(columns)).csv(path)
+    return unescaped_cells(df, [c for c in columns if c not in ("series1", "series2")]) if escaped else df
+
+
+def read_plain_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Comma-separated files without header, as Spark writes them by default, with the given column names."""
+    return spark.read.options(multiLine=True).schema(schemas.typed_schema(columns)).csv(path)
 
 
 def read_pairwise(spark: SparkSession, path: str) -> DataFrame:
-    """Pairwise tables written by `writers.write_pairwise` (hidden files are ignored)."""
-    return read_tsv(spark, path)
+    """Pairwise tables written by `writers.write_pairwise`, with escaped cells or not (hidden files are ignored)."""
+    found = []
+    for ending in (ESCAPED, "csv"):
+        try:
+            found.append(read_tsv(spark, path, ending == ESCAPED, f"*.{ending}*"))
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # raised where no file has this ending
+                raise
+    if not found:
+        raise ValueError(f"no pairwise table in {path}")
+    return reduce(DataFrame.unionByName, found)
 
 
 def existing_series(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spolia import config, schemas
+from spolia.functions.cells import escaped_cells
 from spolia.operators.records import with_chunk
 
 # Fixed value: options of a tab-separated file that keeps every character of a text.
@@ -15,6 +16,8 @@ TSV = dict(
     ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
 )
 
+ESCAPED = "tsv"  # ending of files whose cells are escaped
+
 
 def write_milestoned(files: DataFrame, path: str, fmt: str = "text") -> None:
     """Complete tagged files (`file_name, value`).
@@ -62,23 +65,24 @@ def write_records(
     )
 
 
-def write_pairwise(df: DataFrame, path: str) -> None:
-    """One directory per book pair with its alignments, sorted by `id1, id2`.
+def write_pairwise(df: DataFrame, path: str, escape: bool = True) -> None:
+    """One directory per book pair with its alignments, sorted by `id1, id2` (ties by place).
 
-    Small pairs share a task; adaptive execution splits a pair that exceeds the advisory
-    partition size into several sorted files instead of sending it through one task.
+    Rows are dealt out by sampled ranges of pair and place, so a frequent pair is spread over several tasks and its
+    files, in the order of their names, follow each other without overlap; small pairs share a task.  There are as many
+    ranges as `spark.sql.shuffle.partitions` says, less where adaptive execution puts small ones together.  Line breaks in
+    cells are escaped (`functions.cells`), so that each row is one line and readers can split a file; such files end in
+    `.tsv`.  Without `escape` line breaks are quoted, for programs that expect that, and files end in `.csv`.
     """
     columns = [c for c in schemas.PAIRWISE_COLUMNS if c in df.columns]
     others = [c for c in df.columns if c not in columns and c not in ("series1", "series2")]
-    (
-        df.select(*columns, *others, "series1", "series2")
-        .hint("rebalance", "series1", "series2")
-        .sortWithinPartitions("series1", "series2", "id1", "id2")
-        .write.mode("overwrite")
-        .partitionBy("series1", "series2")
-        .options(**TSV)
-        .csv(path)
-    )
+    place = ["series1", "series2", "id1", "id2", *[c for c in ("b1", "b2") if c in df.columns]]
+    rows = df.select(*columns, *others, "series1", "series2")
+    rows = rows.repartitionByRange(*place).sortWithinPartitions(*place)
+    if escape:
+        rows = escaped_cells(rows, [*columns, *others])
+    options = TSV | ({"extension": ESCAPED} if escape else {})
+    rows.write.mode("overwrite").partitionBy("series1", "series2").options(**options).csv(path)
 
 
 def write_book_stats(stats: DataFrame, path: str, single_file: bool = False) -> None:

@@ -275,10 +275,79 @@ def test_pairwise_files(spark, inputs, tmp_path):
     assert as_set(flipped_twice) == as_set(back)
     for folder in (tmp_path / "one").glob("series1=*/series2=*"):
         for part in folder.glob("part-*"):
-            ids = [(r.id1, r.id2) for r in readers.read_tsv(spark, str(part)).select("id1", "id2").collect()]
+            ids = [(r.id1, r.id2) for r in readers.read_tsv(spark, str(part), escaped=True).select("id1", "id2").collect()]
             assert ids == sorted(ids)
 
 
+CELLS = ["a\nb", "a\rb", "a\r\nb", "\\n", "\\\\n", "\\", "\\\\", "x\\\n", 'q"u\t"', "", " ", "\u2028 \u0085", "\\r\\", "\n", None, "plain"]
+
+
+@pytest.mark.parametrize("escape", [True, False])
+def test_pairwise_cells_survive(spark, tmp_path, escape):
+    rows = [("A", "B", f"a{k:02}", "b", k, cell, "x" if cell is None else cell) for k, cell in enumerate(CELLS)]
+    df = spark.createDataFrame(rows, "series1 string, series2 string, id1 string, id2 string, b1 int, s1 string, s2 string")
+    out = str(tmp_path / "out")
+    writers.write_pairwise(df, out, escape)
+    files = [p.name for p in (tmp_path / "out").glob("*/*/part-*")]
+    assert files and all(name.endswith(".tsv" if escape else ".csv") for name in files)
+    back = readers.read_pairwise(spark, out).select(*df.columns)
+    assert sorted((*r[:5], r.s1 or "", r.s2) for r in back.collect()) == sorted((*r[:5], r[5] or "", r[6]) for r in rows)
+
+
+def test_pairwise_files_are_split(spark, tmp_path):
+    """A table with escaped cells is read by several tasks, line breaks or not."""
+    df = spark.range(20000).select(
+        *[F.lit(x).alias(c) for c, x in (("series1", "A"), ("series2", "B"))], *[F.format_string("i%06d", "id").alias(c) for c in ("id1", "id2")],
+        F.lit("two\nlines \\ " * 10).alias("s1"),
+    )
+    out = str(tmp_path / "out")
+    writers.write_pairwise(df.coalesce(1), out)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        back = readers.read_pairwise(spark, out)
+        files = len(list((tmp_path / "out").glob("*/*/part-*")))
+        assert back.rdd.getNumPartitions() > 4 * files
+        assert back.select("id1", "s1").exceptAll(df.select("id1", "s1")).isEmpty() and back.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_files_of_a_frequent_pair_follow_each_other(spark, tmp_path):
+    """One pair beyond the advisory size: its files do not overlap and are of like size."""
+    many = spark.range(40000).select(F.lit("A").alias("series1"), F.lit("B").alias("series2"), "id")
+    few = spark.range(200).select(F.concat(F.lit("C"), F.col("id") % 50).alias("series1"), F.lit("D").alias("series2"), "id")
+    rows = many.union(few).select(
+        "series1", "series2", F.format_string("i%08d", F.pmod(F.xxhash64("id"), F.lit(10**8))).alias("id1"),
+        F.format_string("j%08d", F.pmod(F.hash("id"), F.lit(10**7))).alias("id2"), F.repeat(F.lit("x"), F.lit(40)).alias("s1"),
+    )
+    out = str(tmp_path / "out")
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200000", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100000"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        writers.write_pairwise(rows, out)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    parts = sorted((tmp_path / "out" / "series1=A" / "series2=B").glob("part-*"))
+    ids = [[tuple(line.split("\t")[:2]) for line in p.read_text().splitlines()[1:]] for p in parts]
+    assert len(parts) > 4 and sum(map(len, ids)) == 40000
+    assert [i for part in ids for i in part] == sorted(i for part in ids for i in part)
+    inner = [len(part) for part in ids[:-1]]  # the last one may share its range with other pairs
+    assert max(map(len, ids)) <= 2 * sum(inner) / len(inner)
+
+
+def test_alignments_without_header(spark, tmp_path):
+    rows = make_alignments(6)
+    df = spark.createDataFrame([tuple(r[f.name] for f in schemas.ALIGNMENTS.fields) for r in rows], schemas.ALIGNMENTS)
+    path = str(tmp_path / "a.csv")
+    df.write.csv(path)
+    back = readers.read_alignments(spark, path, columns=schemas.ALIGNMENTS.names)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
 def test_reads_only_present_columns(spark, tmp_path):
     rows = [{k: v for k, v in r.items() if not k.startswith("first")} for r in make_alignments(5)]
     path = tmp_path / "a.json"
