@@ -132,6 +132,7 @@ def expected() -> dict[str, str]:
         "bidirectional": q(o.ALIGNMENTS, o.words(1, False), o.W_COUNT, o.STATS, select=_BOTH),
         "bidirectional_again": q(o.ALIGNMENTS, o.words(1, False), o.W_COUNT, o.STATS, select=_BOTH),
         "pairwise_table": q(*_CLEANED, o.words(1, False), o.W_COUNT, o.STATS, select=_BOTH),
+        "pairwise_rows": q(*_CLEANED, o.words(1, False), o.W_COUNT, o.STATS, select=_BOTH),
         "pair_counts": q(o.ALIGNMENTS, select="""SELECT series1, series2, count(matches) AS instances, min(matches) AS matches_min,
             max(matches) AS matches_max, avg(matches) AS matches_mean FROM alignments GROUP BY series1, series2"""),
         "milestone_offsets": q(o.RECORDS, o.OFFSETS, select="SELECT series, seq, ch_len, ch_offset FROM offsets"),

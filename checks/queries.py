@@ -12,7 +12,7 @@ from spolia.config import CorpusConfig
 from spolia.functions import align, letters, text as txt, uri
 from spolia.operators import alignments as al, bookstats as bs, corpus, milestones as ms, pairwise as pw, ranges as rg, records as rec
 from spolia.operators.once import computed_once, exploded
-from spolia.plans import prepare
+from spolia.plans import pairwise, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -338,6 +338,12 @@ def pairwise_table(spark, d):
     return pw.bidirectional(al.alignment_stats(usable))
 
 
+@query
+def pairwise_rows(spark, d):
+    """The same table as the job deals it out for writing."""
+    return pairwise.pairwise_rows(t.raw_alignments(spark, d), both_directions=True)
+
+
 @query
 def pair_counts(spark, d):
     return pw.pair_counts(t.alignments(spark, d))

@@ -49,6 +49,16 @@ def bidirectional(df: DataFrame, recompute: bool = False, kernel: str = "builtin
     return df.select(F.inline(both))
 
 
+def both_sides(df: DataFrame) -> DataFrame:
+    """Alignments without statistics in both directions, `_turned` telling the reversed ones.
+
+    `alignment_stats` gives them the figures that `bidirectional` copies.
+    """
+    turned = [F.col(_mirror(c, df.columns)).alias(c) for c in df.columns]
+    rows = F.array(F.struct(*df.columns, F.lit(False).alias("_turned")), F.struct(*turned, F.lit(True).alias("_turned")))
+    return df.select(F.inline(rows))
+
+
 def pair_counts(df: DataFrame) -> DataFrame:
     """Alignments per book pair with a summary of the aligner's match counts."""
     return df.groupBy("series1", "series2").agg(

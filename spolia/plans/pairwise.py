@@ -17,17 +17,27 @@ def pairwise_tables(
     kernel: str = "arrow",
     columns: list[str] | None = None,
     rejects_path: str | None = None,
+    escape: bool = True,
 ) -> DataFrame:
     """Write the pairwise tables of an alignment dataset.
 
+    Whole rows are shuffled once, to where they are written; there the repeated ones are found (`pairwise_rows`).
     Returns the alignments left out because their sides differ in length.  Rows with values that do not fit the types
     are written to `rejects_path` (default: `out_path` with "-rejects").  `columns` spares a pass over JSON.
     """
     fitting = fitting_alignments(spark, in_path, rejects_path or f"{out_path.rstrip('/')}-rejects", fmt, columns)
-    usable, unequal = al.split_unequal(al.clean_alignments(fitting))
-    stats = al.alignment_stats(usable, kernel)
-    writers.write_pairwise(pw.bidirectional(stats) if both_directions else stats, out_path)
-    return unequal
+    rows = pairwise_rows(fitting, both_directions, kernel)
+    writers.write_pairwise(rows, out_path, escape, is_placed=True)
+    return al.split_unequal(al.clean_alignments(fitting))[1]
+
+
+def pairwise_rows(alignments: DataFrame, both_directions: bool = False, kernel: str = "arrow") -> DataFrame:
+    """Distinct complete alignments with statistics, dealt out by place.
+
+    With `both_directions` rows are turned before the shuffle, as turned rows belong elsewhere.
+    """
+    usable, _ = al.split_unequal(al.complete_alignments(alignments))
+    return al.alignment_stats(al.placed_alignments(pw.both_sides(usable) if both_directions else usable), kernel)
 
 
 def fitting_alignments(

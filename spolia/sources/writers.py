@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spolia import config, schemas
 from spolia.functions.cells import escaped_cells
+from spolia.operators.alignments import PLACE, placed
 from spolia.operators.records import with_chunk
 
 # Fixed value: options of a tab-separated file that keeps every character of a text.
@@ -65,7 +66,7 @@ def write_records(
     )
 
 
-def write_pairwise(df: DataFrame, path: str, escape: bool = True) -> None:
+def write_pairwise(df: DataFrame, path: str, escape: bool = True, is_placed: bool = False) -> None:
     """One directory per book pair with its alignments, sorted by `id1, id2` (ties by place).
 
     Rows are dealt out by sampled ranges of pair and place, so a frequent pair is spread over several tasks and its
@@ -73,12 +74,12 @@ def write_pairwise(df: DataFrame, path: str, escape: bool = True) -> None:
     ranges as `spark.sql.shuffle.partitions` says, less where adaptive execution puts small ones together.  Line breaks in
     cells are escaped (`functions.cells`), so that each row is one line and readers can split a file; such files end in
     `.tsv`.  Without `escape` line breaks are quoted, for programs that expect that, and files end in `.csv`.
+    Rows of `alignments.placed` are dealt out already (`is_placed`) and only sorted.
     """
     columns = [c for c in schemas.PAIRWISE_COLUMNS if c in df.columns]
     others = [c for c in df.columns if c not in columns and c not in ("series1", "series2")]
-    place = ["series1", "series2", "id1", "id2", *[c for c in ("b1", "b2") if c in df.columns]]
     rows = df.select(*columns, *others, "series1", "series2")
-    rows = rows.repartitionByRange(*place).sortWithinPartitions(*place)
+    rows = (rows if is_placed else placed(rows)).sortWithinPartitions(*[c for c in PLACE if c in df.columns])
     if escape:
         rows = escaped_cells(rows, [*columns, *others])
     options = TSV | ({"extension": ESCAPED} if escape else {})

@@ -438,6 +438,23 @@ def test_flat_records_grow_by_series(spark, tmp_path):
     assert first <= {p.name for p in (tmp_path / "out").glob("part-*")}
 
 
+@pytest.mark.parametrize("both", [False, True])
+def test_repeated_rows_are_found_in_the_writing_shuffle(spark, both):
+    """One pair with most rows, rows that repeat, differ in one column only, or have nulls or unequal sides."""
+    rows = [r | {"uid1": k} for k, r in enumerate(make_alignments(8) * 5)]
+    rows = rows + rows[::2] + [rows[0] | {"score": 0.25}, rows[1] | {"score": None}, rows[2] | {"s1": rows[2]["s1"] + "x"}] * 2
+    df = spark.createDataFrame([tuple(r[f.name] for f in schemas.ALIGNMENTS.fields) for r in rows], schemas.ALIGNMENTS)
+    usable, _ = al.split_unequal(al.clean_alignments(df))
+    stats = al.alignment_stats(usable)
+    want = pw.bidirectional(stats) if both else stats
+    got = pairwise_plan.pairwise_rows(df, both)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    sorted_rows = got.sortWithinPartitions(*al.PLACE)
+    plan = sorted_rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "rangepartitioning(series1" in plan
+    assert pairwise_plan.pairwise_rows(df.limit(0), both).isEmpty()
+
+
 def test_mirror_twice(spark, tmp_path):
     df = spark.createDataFrame([("A", "B", "a1", "b1", 1), ("A", "B", "a2", "b1", 2), ("C", "A", "c1", "a1", 3)],
                                "series1 string, series2 string, id1 string, id2 string, matches int")
