@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spolia.llm.common import batch_rows, filled, map_arrow, slices, written
+from spolia.llm.common import WORD, batch_rows, filled, map_arrow, slices, written
 from spolia.llm.components import components, roots
 from spolia.llm.shingles import joined, mix, shingle_hashes
 
@@ -257,8 +257,8 @@ def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int =
     """`key`, `n_shingles`, `n_links` (other rows that link directly; without `counts` some of them), `component_id` of every row.
 
     Rows with the same set link with each other.  Null or empty texts have an empty set and link with nothing;
-    a null key has no component but its own (null) and takes part in none; rows with equal keys and different texts are
-    rows of their own, and a component is named by its smallest key.  An empty table gives an empty result.
+    a null key has no component but its own (null) and takes part in none.  Keys are taken to be unique: rows that share
+    one share its links (`one_of_each` tells them apart).  A component is named by its smallest key.  An empty table gives an empty result.
     """
     with batch_rows(df.sparkSession, TEXT_ROWS):
         sets = written(sets_of(df, key, shingle), "sets")
@@ -279,6 +279,26 @@ def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int =
 
 
 def one_of_each(df: DataFrame, columns: tuple[str, ...], shingle: int, near: int, key: str = "doc_id") -> DataFrame:
-    """The rows that name their component (the smallest key of each group of near copies), rows without links included."""
-    dropped = join(df, key, shingle, near, counts=False).where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return df.join(dropped, key, "left_anti").select(*columns)
+    """One row of each group of near copies (that of the smallest key), and all rows without links.
+
+    Rows that repeat in key and text count once (the least of their other columns stays).  Rows that share a key and
+    differ in text are rows of their own: none goes because of another, and of a group the smallest key that only one
+    row has stays, or else the row of the least hash.  Rows with a null key or without words all stay.
+    """
+    kept = list(dict.fromkeys((key, "text", *columns)))
+    df = df.select(*kept)
+    crowded = written(df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key), "crowded")
+    if crowded.isEmpty():
+        dropped = join(df, key, shingle, near, counts=False).where(F.col(key) != F.col("component_id")).select(key).distinct()
+        return df.join(dropped, key, "left_anti").select(*columns)
+    # A range of its own for the rows that no key tells apart.
+    own = F.shiftrightunsigned(F.xxhash64(key, "text"), 2) + F.lit(1 << 62)
+    wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    several = df.join(crowded, key, "left_semi")
+    rest = F.struct(*[c for c in kept if c not in (key, "text")], F.lit(0).alias("_"))
+    once = several.where(~wordless).groupBy(key, "text").agg(F.min(rest).alias("_rest"))
+    rows = df.join(crowded, key, "left_anti").withColumn("_id", F.col(key).cast("bigint"))
+    rows = rows.unionByName(several.where(wordless).withColumn("_id", F.lit(None).cast("bigint")))
+    rows = rows.unionByName(once.select(key, "text", "_rest.*").select(*kept, own.alias("_id")))
+    dropped = join(rows, "_id", shingle, near, counts=False).where("_id <> component_id").select("_id").distinct()
+    return rows.join(dropped, "_id", "left_anti").select(*columns)

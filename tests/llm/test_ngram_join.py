@@ -102,3 +102,40 @@ def test_components(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, 7), (50, 50), (60, 61), (61, 60), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{k: 1 for k in range(1, 41)}, 100: 1, 60: 60, 61: 60}
+
+
+def test_one_of_each_with_repeated_keys(spark):
+    """Rows that share a key are judged by their texts: copies of a row go, others with its key do not."""
+    def words(name, n=40):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    rows = [
+        (1, words("a"), "x"), (2, words("a") + " end", "x"),  # near copies of ordinary keys
+        (2, words("b"), "x"),  # shares the key of a dropped copy
+        (3, words("c"), "y"), (3, words("c"), "x"), (3, words("c"), None),  # repeated rows
+        (4, words("d"), "x"), (4, words("d") + " end", "x"),  # near copies that share a key
+        (5, words("e"), "x"), (5, words("f"), "x"),  # share a key only
+        (6, words("g"), "x"), (7, words("g"), "x"), (7, words("h"), "x"),  # the key that one row has stays
+        (8, "", "x"), (8, "", "x"), (8, None, "x"), (8, " \n", "x"),  # no words: no copies
+        (None, words("a"), "x"), (None, words("a"), "x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("extra", F.lit(1))
+    got = [tuple(r) for r in N.one_of_each(df, ("doc_id", "text", "lang"), 5, 80).collect()]
+    fixed = [(1, words("a"), "x"), (2, words("b"), "x"), (3, words("c"), None), (5, words("e"), "x"), (5, words("f"), "x"),
+             (6, words("g"), "x"), (7, words("h"), "x"), (8, "", "x"), (8, "", "x"), (8, None, "x"), (8, " \n", "x"),
+             (None, words("a"), "x"), (None, words("a"), "x")]
+    of_four = [r for r in got if r[0] == 4]
+    assert len(of_four) == 1 and of_four[0] in rows
+    assert sorted(map(str, got)) == sorted(map(str, fixed + of_four))
+    assert sorted(map(str, got)) == sorted(map(str, map(tuple, N.one_of_each(df.repartition(5), ("doc_id", "text", "lang"), 5, 80).collect())))
+
+
+def test_one_of_each_with_a_key_of_many_rows(spark):
+    """One key holds a third of all rows, most of them different texts."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefghijklmnop", k=30)) for _ in range(200)]
+    rows = [(0, t) for t in texts[:100]] + [(0, t) for t in texts[:20]] + [(k + 1, t) for k, t in enumerate(texts[80:])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [tuple(r) for r in N.one_of_each(df, ("doc_id", "text"), 5, 80).collect()]
+    want = [(0, t) for t in texts[:80]] + [(k + 1, t) for k, t in enumerate(texts[80:])]
+    assert sorted(got) == sorted(want)
