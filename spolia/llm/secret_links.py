@@ -13,6 +13,7 @@ Matches are located without Python: the pieces between the matches give their le
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,7 +95,9 @@ def intervals(df: DataFrame, key: str = "doc_id", reach: int = REACH) -> DataFra
         part = F.when(F.col("kind") == kind, role).otherwise(part)
     strong = F.col("kind").isin([kind for kind, *_, alone in KINDS if alone])
     order = Window.partitionBy(*text).orderBy("start", "end", "kind")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    # The rows after one are those before it in the reverse order; a frame up to the last row is computed anew for each row.
+    back = Window.partitionBy(*text).orderBy(F.desc("start"), F.desc("end"), F.desc("kind"))
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), back.rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumns({
         "part": part, "strong": strong,
         "scope": F.sum((F.col("kind") == "break").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)),
@@ -157,23 +160,65 @@ def scan(df: DataFrame, key: str = "doc_id", reach: int = REACH) -> DataFrame:
     ).drop("again")
 
 
+def _suspect(text: Column) -> Column:
+    """Whether a text has candidates that may be reported: a strong one, or a weak secret and something to link it with."""
+
+    def some(*kinds: str) -> Column:
+        return reduce(Column.__or__, [text.rlike(pattern) for kind, pattern, *_ in KINDS if kind in kinds])
+
+    strong = [kind for kind, *_, alone in KINDS if alone]
+    return some(*strong) | (some("key", "random") & some("id", "endpoint"))
+
+
+def masked(df: DataFrame, found: DataFrame) -> DataFrame:
+    """`key`, `mark`, `masked`: the texts of `df` (`key`, `mark`, `text`) that have spans in `found`, with masks in place of these.
+
+    Overlapping spans get one mask.  Texts are cut into pieces of SPAN characters and meet the parts of spans that lie in
+    each, so the work is linear in the length of a text and the number of its spans.
+    """
+    text = ["key", "mark"]
+    line = Window.partitionBy(*text).orderBy("start", "end", "kind")
+    reached = F.coalesce(F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    removed = found.withColumn("opens", (F.col("start") >= reached).cast("int"))
+    removed = removed.withColumn("island", F.sum("opens").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    removed = removed.groupBy(*text, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    removed = written(removed, "removed")
+    base = F.col("piece") * SPAN
+    cut = F.struct(
+        F.greatest(F.col("start") - base, F.lit(0)).cast("int").alias("low"), F.least(F.col("end") - base, F.lit(SPAN)).cast("int").alias("high"),
+        (F.col("start") >= base).alias("opens"),
+    )
+    cuts = removed.withColumn("piece", _stretches(F.col("start"), F.col("end") - 1))
+    cuts = cuts.select(*text, F.col("piece").cast("bigint").alias("piece"), cut.alias("cut"), F.lit(None).cast("string").alias("chars"))
+    named = removed.select(F.col("key").alias("of"), F.col("mark").alias("of_mark")).distinct()
+    rows = df.join(named, F.col("key").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark")), "left_semi")
+    rows = rows.select(*text, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{SPAN}}}"), F.lit(0))).alias("piece", "chars"))
+    rows = rows.select(*text, F.col("piece").cast("bigint").alias("piece"), F.lit(None).cast(cuts.schema["cut"].dataType).alias("cut"), "chars")
+    pieces = rows.unionByName(cuts).groupBy(*text, "piece")
+    pieces = pieces.agg(F.max("chars").alias("chars"), F.array_sort(F.collect_set("cut")).alias("cuts"))
+
+    def kept(c: Column, number: Column) -> Column:
+        last = F.coalesce(F.get(F.col("cuts"), number - 1)["high"], F.lit(0))
+        return F.concat(F.substring(F.col("chars"), last + 1, c["low"] - last), F.when(c["opens"], MASK).otherwise(""))
+
+    rest = F.substring(F.col("chars"), F.coalesce(F.array_max(F.transform("cuts", lambda c: c["high"])), F.lit(0)) + 1, F.lit(SPAN))
+    chars = F.concat(F.array_join(F.transform("cuts", kept), ""), rest)
+    whole = F.array_sort(F.collect_list(F.struct("piece", chars.alias("chars"))))
+    return pieces.groupBy(*text).agg(F.array_join(F.transform(whole, lambda p: p["chars"]), "").alias("masked"))
+
+
 def redacted(df: DataFrame, reach: int = REACH) -> DataFrame:
-    """The documents with every reported span replaced by a mask; texts without any stay as they are."""
-    found = spans(df, "doc_id", reach).where(F.size("spans") > 0).select("key", "mark", "spans")
-    rows = df.select(*DOCUMENT_COLUMNS).withColumn("text_mark", F.xxhash64(filled()))
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("key")) & (F.col("text_mark") == F.col("mark")), "left")
-    ends = F.transform("spans", lambda s: s["end"])
-
-    def before(number: Column) -> Column:
-        """Where the spans before this one end."""
-        return F.coalesce(F.array_max(F.slice(ends, F.lit(1), number)), F.lit(0))
-
-    pieces = F.transform("spans", lambda s, i: F.when(
-        s["start"] >= before(i),
-        F.concat(F.substring(F.col("text"), before(i) + 1, s["start"] - before(i)), F.lit(MASK)),
-    ).otherwise(""))
-    rest = F.substring(F.col("text"), F.array_max(ends) + 1, F.length("text"))
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), rest))
-    n_chars = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("masked")).cast("bigint")
-    masked = joined.withColumn("masked", text)
-    return masked.select("doc_id", F.col("masked").alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    """The documents with every reported span replaced by a mask; texts without any stay as they are.
+
+    Only texts with candidates that may be reported are scanned in whole and shuffled; the others pass through.  Null
+    texts stay null, a null key is kept, repeated rows all come back; an empty table gives an empty result.
+    """
+    rows = df.select(*DOCUMENT_COLUMNS)
+    suspect = _suspect(filled())
+    few = written(rows.where(suspect).withColumn("mark", F.xxhash64("text")), "suspects")
+    found = intervals(few, "doc_id", reach).where("found").select("key", "mark", "kind", "start", "end")
+    masks = masked(few.select(F.col("doc_id").alias("key"), "mark", "text"), found).withColumnRenamed("mark", "of_mark")
+    few = few.join(masks, F.col("doc_id").eqNullSafe(F.col("key")) & (F.col("mark") == F.col("of_mark")), "left")
+    n_chars = F.when(F.col("masked").isNull(), F.col("n_chars")).otherwise(F.length("masked")).cast("bigint")
+    few = few.select("doc_id", F.coalesce("masked", "text").alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    return rows.where(~suspect).withColumn("n_chars", F.col("n_chars").cast("bigint")).unionByName(few)

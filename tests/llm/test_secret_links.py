@@ -82,3 +82,42 @@ def test_long_values_reach_from_their_ends(spark, text, kinds):
     (row,) = S.scan(spark.createDataFrame([(None, text)], "doc_id bigint, text string")).collect()
     assert [s.split(":")[0] for s in row.spans.split(",") if s and not s.startswith("random")] == [k for k in kinds if k != "random"]
     assert ("random" in row.spans) == bool(kinds)
+
+
+def plain_mask(text, spans):
+    out, reached = "", 0
+    for start, end in sorted(spans):
+        if start >= reached:
+            out += text[reached:start] + S.MASK
+        reached = max(reached, end)
+    return out + text[reached:]
+
+
+def test_redaction_of_long_texts_and_repeated_rows(spark):
+    rng = random.Random(8)
+    bits = ["token=abcdefg", "é🙂", " ", "user=maria", "\n\n", "pwd=opensesame1", "x" * 700, "hex " + "0123456789abcdef" * 90, "https://a.example.org/q"]
+    texts = [" ".join(rng.choice(bits) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    rows = [(k % 50, t, "en", "s", 1) for k, t in enumerate(texts)] + [(None, texts[0], "en", None, 1), (0, texts[0], "fr", "s", 1), (0, texts[0], "en", "s", 1)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    spans = {(r.doc_id, r.spans) for r in S.scan(df).collect()}
+    want = []
+    for key, text, lang, source, _ in rows:
+        each = {plain_mask(text, [tuple(map(int, s.split(":")[1:])) for s in found.split(",") if s]) for k, found in spans if k == key}
+        want.append((key, lang, source, each))
+    got = S.redacted(df).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert any((r.doc_id, r.lang, r.source) == w[:3] and r.text in w[3] for w in want)
+    assert sum(S.MASK in r.text for r in got) > 40
+    assert sorted(r.text for r in got if r.doc_id is None) == sorted(r.text for r in got if r.doc_id == 0 and r.lang == "fr")
+    assert S.redacted(df.limit(0)).count() == 0
+
+
+def test_many_findings_in_one_text(spark):
+    n = 60_000  # a frame that is computed anew for every row would take many minutes here
+    text = "token=abcdefgh user=maria1 pwd=opensesame1 " * n
+    df = spark.createDataFrame([(1, text, "en", "s", 1)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    (row,) = S.scan(df).collect()
+    assert row.n_assign == n and row.spans.count(",") == 3 * n - 1
+    (row,) = S.redacted(df).collect()
+    assert row.text == "[secret] [secret] [secret] " * n
