@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spolia.llm.common import DOCUMENT_COLUMNS, WORD, filled
+from spolia.llm.common import DOCUMENT_COLUMNS, WORD, filled, written
 
 WEIGHTS = (1, 2, 3)  # of the sources in order, repeating
 MOST_COPIES = 3  # a target stops at so many times its source's size
@@ -49,14 +49,21 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return rows.select("source", "source_size", share.alias("target"))
 
 
+def row_mark(df: DataFrame) -> Column:
+    """Hash of those columns of documents that are there."""
+    return F.xxhash64(*[c for c in DOCUMENT_COLUMNS if c in df.columns])
+
+
 def mixed(df: DataFrame, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns `keep`, and `size`, `source_size`, `target`, `copies` of every row.
+    """Columns `keep`, and `mark`, `size`, `source_size`, `target`, `copies` of every row.
 
     Null text has size 0; a null source is a source of its own; repeated rows are sampled each; documents
-    without words are never taken; an empty table gives an empty result.
+    without words are never taken; an empty table gives an empty result.  Texts are read once, for their sizes and hashes
+    (`mark`, of all columns of documents, which settles ties too); the narrow rows are written and sampled.
     """
     carried = [F.col(c).alias(f"kept_{k}") for k, c in enumerate(keep)]
-    rows = df.select(*carried, F.col("source").alias("source"), F.col(key).alias("key"), words().alias("size"), F.xxhash64("text").alias("mark"))
+    rows = df.select(*carried, F.col("source").alias("source"), F.col(key).alias("key"), words().alias("size"), row_mark(df).alias("mark"))
+    rows = written(rows, "sizes")
     size_class = F.least(F.lit(SIZE_CLASSES - 1), F.floor(8 * F.log2(F.col("size") + 1.0))).cast("int")
     rows = rows.withColumns({"class": size_class, "salt": F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")})
     block = ["source", "class", "salt"]
@@ -80,7 +87,7 @@ def mixed(df: DataFrame, key: str = "doc_id", keep: tuple[str, ...] = ()) -> Dat
     crossed = F.floor(offset + each * (place + 1)) - F.floor(offset + each * place)
     copies = F.when(F.col("size") > 0, F.least(crossed, F.lit(MOST_COPIES))).otherwise(0).cast("bigint")
     names = [F.col(f"kept_{k}").alias(c) for k, c in enumerate(keep)]
-    return joined.select(*names, "size", "source_size", "target", copies.alias("copies"))
+    return joined.select(*names, "mark", "size", "source_size", "target", copies.alias("copies"))
 
 
 def taken(df: DataFrame) -> DataFrame:
@@ -90,7 +97,15 @@ def taken(df: DataFrame) -> DataFrame:
 
 
 def mix(df: DataFrame) -> DataFrame:
-    """The documents, each as often as the mix takes it."""
-    rows = mixed(df, keep=DOCUMENT_COLUMNS).where("copies > 0")
-    again = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
+    """The documents, each as often as the mix takes it.
+
+    The sample is drawn on narrow rows; the texts go through one shuffle, where they meet their copies.  Repeated rows,
+    which nothing tells apart, meet the sum of theirs.
+    """
+    rows = df.select(*DOCUMENT_COLUMNS)
+    drawn = mixed(rows, keep=("doc_id",)).where("copies > 0").groupBy(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark"))
+    drawn = drawn.agg(F.sum("copies").cast("int").alias("copies"))
+    rows = rows.withColumn("mark", row_mark(df)).dropDuplicates(["doc_id", "mark"])
+    rows = rows.join(drawn, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark")))
+    again = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
     return rows.withColumn("copy", again).select(*DOCUMENT_COLUMNS)

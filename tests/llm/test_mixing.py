@@ -1,3 +1,4 @@
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -56,3 +57,41 @@ def test_mix_repeats_rows(spark):
     out = M.mix(df.withColumn("copy", F.lit(1)))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert out.where("source = 'small'").count() == 9  # three copies each, at the bound
+
+
+def plain_copies(rows: list, source_size: int, target: float, offset: float) -> list:
+    """Systematic sampling as the definition says it: add up expected copies, emit at each whole number crossed."""
+    each, place, out = target / source_size if source_size else 0.0, 0.0, []
+    for size in rows:
+        out.append(min(math.floor(offset + place + each) - math.floor(offset + place), 3) if size else 0)
+        place += each
+    return out
+
+
+def test_draws_equal_a_plain_sampler(spark):
+    rng = random.Random(6)
+    rows = [(k, " ".join(["w"] * rng.randint(0, 90)), rng.choice("aaab"), k % 2) for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    got = M.mixed(df, keep=("doc_id", "source")).withColumns({
+        "class": F.least(F.lit(M.SIZE_CLASSES - 1), F.floor(8 * F.log2(F.col("size") + 1.0))), "salt": F.pmod(F.xxhash64("doc_id"), F.lit(M.SALTS)),
+        "offset": F.pmod(F.xxhash64("source", F.lit(False), F.lit(M.SEED)), F.lit(1 << 52)) / float(1 << 52),
+    }).collect()
+    for source in "ab":
+        line = sorted((r for r in got if r.source == source), key=lambda r: (r["class"], r.salt, r.size, r.doc_id))
+        want = plain_copies([r.size for r in line], line[0].source_size, line[0].target, line[0].offset)
+        assert sum(w != r.copies for w, r in zip(want, line, strict=True)) <= 2  # sums of fractions round differently
+        assert abs(sum(w - r.copies for w, r in zip(want, line, strict=True))) <= 1
+
+
+def test_mix_takes_what_taken_says(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice([k, 5, None]), rng.choice(["a b", "a b", "c " * rng.randint(0, 30), None]), rng.choice(["en", None]), rng.choice("abcd"), 1) for k in range(500)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    size = {}
+    for r in M.mix(df).collect():
+        size[r.source] = size.get(r.source, 0) + len(r.text.split())
+    taken = M.mixed(df, keep=("source",)).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("n")).collect()
+    assert size == {r.source: r.n for r in taken}
+    assert {tuple(r) for r in M.mix(df).collect()} <= set(rows)
+    assert sorted(map(str, M.mix(df.repartition(7)).collect())) == sorted(map(str, M.mix(df).collect()))
+    assert M.mix(df.limit(0)).count() == 0
