@@ -4,8 +4,8 @@ Tokens are hashes of word shingles.  Equal sets enter once with their number.  T
 similarity of at least NEAR / 100 differ in a bounded number D of tokens, so of D + 1 parts of the tokens (by hash)
 at least one is the same in both; with some more parts at least AGREE are.  The sums of the parts are the columns looked up.  Sets that share a part
 are partitioned into groups around the smallest set that they share one with (at most about GROUP sets each).  A query
-set meets a group only if the groups share AGREE parts; there its overlap with the group's token
-union is counted first, and only groups in which that reaches the least overlap are opened, that is, compared set by set
+set meets a group only if the groups share AGREE parts and so do the set and the group; of the group those sets are taken that
+share as many with the set's.  There its overlap with the token union of these is counted first, and only groups in which that reaches the least overlap are opened, that is, compared set by set
 over the postings of the union.  Long sets and hot parts are aggregated before they are shuffled; no part's or group's
 pairs are ever listed as rows, only groups are paired.
 """
@@ -198,23 +198,26 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     member = member.join(number, "hub")
     member = member.select("rep", F.xxhash64("hub", F.pmod(F.xxhash64("rep"), "splits")).alias("grp"))
     member = written(member.join(reps.select("rep", "copies"), "rep"), "members")
-    columns = shared.join(member.select("rep", "grp"), "rep").select("part", "grp").distinct()
-    pairs = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp < other")
-    pairs = pairs.groupBy("grp", "other").agg(F.count("*").alias("agree")).where(F.col("agree") >= AGREE)
-    tokens = candidate_tokens(df, key, member, shingle)
-    groups = member.join(tokens, F.col("rep") == F.col("key")).groupBy("grp")
-    groups = written(groups.agg(F.collect_set(F.struct("rep", "copies", "tokens")).alias("sets")), "groups")
+    placed = written(shared.join(member.select("rep", "grp"), "rep").select("part", "rep", "grp"), "placed")
+    columns = placed.select("part", "grp").distinct()
+    meet = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp < other")
+    pairs = meet.groupBy("grp", "other").agg(F.count("*").alias("agree")).where(F.col("agree") >= AGREE).select("grp", "other")
+    tokens = member.join(candidate_tokens(df, key, member, shingle), F.col("rep") == F.col("key"))
+    tokens = written(tokens.select("rep", "copies", "tokens"), "tokens")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                one, two = (batch.column(c)[k].as_py() for c in (0, 1))
-                sides = [one] if two is None else [one, two]
+                one, two = ([s for s in batch.column(1)[k].as_py() if s["side"] == side] for side in (0, 1))
+                paired = batch.column(0)[k].is_valid
+                if paired and not (one and two):
+                    continue
+                sides = [one, two] if paired else [one]
                 ids = np.array([s["rep"] for side in sides for s in side], np.int64)
                 copies = np.array([s["copies"] for side in sides for s in side], np.int64)
                 sets = [[np.frombuffer(s["tokens"], _U) for s in side] for side in sides]
                 n, a, b = np.zeros(len(ids), np.int64), [], []
-                shift = len(one) if two is not None else 0
+                shift = len(one) if paired else 0
                 for q, found in open_group(sets[0], sets[-1], near):
                     found = found + shift
                     found = found[found != q]
@@ -230,27 +233,34 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
                     some = n > 0
                     yield pa.record_batch([pa.array(ids[some]), pa.array(n[some]), pa.array(low[parent][some])], ["rep", "n", "low"])
 
-    other = groups.select(F.col("grp").alias("other"), F.col("sets").alias("two"))
-    alone = groups.where(F.size("sets") > 1).select(F.col("sets").alias("one"), F.lit(None).cast(groups.schema["sets"].dataType).alias("two"))
-
-    def opened(pairs: DataFrame, *more: DataFrame) -> DataFrame:
-        met = pairs.select("grp", "other").join(groups, "grp").join(other, "other").select(F.col("sets").alias("one"), "two")
-        for rows in more:
-            met = met.union(rows)
+    def queries(pairs: DataFrame) -> DataFrame:
+        """`grp`, `other`, `side`, `rep`: the sets of each pair of groups that share AGREE parts with the group opposite."""
+        met = written(meet.join(pairs, ["grp", "other"], "left_semi").select("part", "grp", "other"), "met")
+        sides = [met.select("part", F.col(c).alias("own"), "grp", "other", F.lit(k).alias("side")) for k, c in enumerate(("grp", "other"))]
+        sets = sides[0].union(sides[1]).join(placed.select("part", "rep", F.col("grp").alias("own")), ["part", "own"])
+        return sets.groupBy("grp", "other", "side", "rep").agg(F.count("*").alias("agree")).where(F.col("agree") >= AGREE).drop("agree")
+
+    def opened(pairs: DataFrame, alone: bool) -> DataFrame:
+        chosen = queries(pairs)
+        if alone:
+            several = member.groupBy("grp").count().where("count > 1").select("grp")
+            chosen = chosen.union(member.join(several, "grp").select("grp", F.lit(None).cast("bigint"), F.lit(0), "rep"))
+        boxes = chosen.join(tokens, "rep").groupBy("grp", "other")
+        boxes = boxes.agg(F.collect_set(F.struct("side", "rep", "copies", "tokens")).alias("sets")).select("other", "sets")
         with batch_rows(df.sparkSession, GROUP_ROWS):
-            return written(met.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
+            return written(boxes.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
 
     if counts:
-        return opened(pairs, alone)
-    pairs = written(pairs.select("grp", "other"), "pairs")
+        return opened(pairs, alone=True)
+    pairs = written(pairs, "pairs")
     first = pairs.groupBy("other").agg(F.min("grp").alias("grp"))
-    linked = opened(first, alone)
+    linked = opened(first.select("grp", "other"), alone=True)
     named = components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "rep")
     member = member.join(named, "rep", "left").select("grp", F.coalesce("component", "rep").alias("component"))
     inside = written(member.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "inside")
     rest = pairs.join(first.withColumnRenamed("grp", "done"), "other").where("grp <> done")
     rest = rest.join(inside, "grp").join(inside.select(F.col("grp").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2")), "other")
-    return linked.union(opened(rest.where("lo <> hi or lo2 <> hi2 or lo <> lo2")))
+    return linked.union(opened(rest.where("lo <> hi or lo2 <> hi2 or lo <> lo2").select("grp", "other"), alone=False))
 
 
 def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int = NEAR, counts: bool = True) -> DataFrame:
