@@ -36,13 +36,16 @@ def presentation_forms() -> tuple[dict[str, str], dict[str, str]]:
 def fold_presentation(text: Column) -> Column:
     """Presentation forms as the letters that they stand for.
 
-    Forms of one letter are translated in one pass; ligatures are looked up letter by letter, in texts that have any.
+    Forms of one letter are translated in one pass.  What then lies in the blocks is cut out letter by letter and looked up
+    by its code point, in constant time for each; stretches without such letters stay whole.
     """
     single, several = presentation_forms()
     text = F.translate(text, "".join(single), "".join(single.values()))
-    known = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
-    spelt = F.transform(F.split(text, "", -1), lambda c: F.coalesce(F.element_at(known, c), c))
-    return F.when(text.rlike(f"[{''.join(several)}]"), F.array_join(spelt, "")).otherwise(text)
+    block = "".join(f"\\x{{{first:X}}}-\\x{{{last:X}}}" for first, last in PRESENTATION)
+    pieces = F.regexp_extract_all(text, F.lit(f"[{block}]|[^{block}]++"), 0)
+    least, most = PRESENTATION[0][0], PRESENTATION[-1][-1]
+    known = F.array(*[F.lit(several.get(chr(code))) for code in range(least, most + 1)])
+    return F.array_join(F.transform(pieces, lambda p: F.coalesce(F.get(known, F.ascii(p) - least), p)), "")
 
 
 def fold_letters(text: Column) -> Column:
