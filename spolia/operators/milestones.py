@@ -51,12 +51,16 @@ def token_rows(texts: DataFrame, token_class: str = config.TOKEN_CLASS) -> DataF
 def assign_milestones(
     texts: DataFrame, ms_len: int = config.MS_LEN, token_class: str = config.TOKEN_CLASS
 ) -> DataFrame:
-    """Add `milestones` (array of texts) and `width` (digits of a label)."""
-    return texts.withColumns(
+    """Add `milestones` (array of texts) and `width` (digits of a label).
+
+    Both are computed once for a text: otherwise the labels would count its tokens again for each milestone.
+    """
+    return computed_once(
+        texts,
         {
             "milestones": txt.cut_milestones(F.col("body"), ms_len, token_class),
             "width": txt.label_width(F.col("body"), ms_len, token_class),
-        }
+        },
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from spolia import config
 from spolia.functions import text as txt
 from spolia.functions.letters import fold_letters
+from spolia.operators.once import computed_once, exploded
 
 
 def explode_milestones(texts: DataFrame, ms_regex: str = config.MS_TAG, body: str = "body") -> DataFrame:
@@ -14,13 +15,15 @@ def explode_milestones(texts: DataFrame, ms_regex: str = config.MS_TAG, body: st
 
     A milestone is the text since the previous tag; text after the last tag is dropped.
     """
-    labels = F.regexp_extract_all(body, F.lit(ms_regex), 0)
-    pieces = F.split(body, ms_regex, -1)
+    kept = [c for c in texts.columns if c != body]
+    # Each step once for a text: the body is searched twice, and the pieces are taken and counted.
+    once = computed_once(texts.select(*kept, F.col(body).alias("_body")), {"_body": F.col("_body")})
+    cut = {"_labels": F.regexp_extract_all("_body", F.lit(ms_regex), 0), "_pieces": F.split("_body", ms_regex, -1)}
+    once = computed_once(once, cut)
     pairs = F.arrays_zip(
-        labels.alias("ms_label"), F.slice(pieces, 1, F.size(pieces) - 1).alias("text")
+        F.col("_labels").alias("ms_label"), F.slice("_pieces", 1, F.size("_pieces") - 1).alias("text")
     )
-    kept = [c for c in texts.columns if c != body]
-    return texts.select(*kept, F.posexplode(pairs).alias("_i", "_ms")).select(
+    return exploded(once.withColumn("_pairs", pairs), kept, "_pairs", "_i", "_ms").select(
         *kept, (F.col("_i") + 1).alias("pos"), "_ms.ms_label", "_ms.text"
     )
 

@@ -219,3 +219,18 @@ def test_default_class_and_length(spark):
             want[-1] += piece
             n += bool(regex.search(f"[{config.TOKEN_CLASS}]", piece))
         assert got[k] == ([] if text == "" else want)
+
+
+def test_texts_are_searched_once_for_labels_and_records(spark):
+    """Label widths are not counted again for each milestone, and the tagged body is built once for its records."""
+    from spolia.operators import milestones as ms, records as rec
+
+    rows = [("a", None, "one two three four"), ("b", "A", "five six"), ("c", None, None), ("d", None, "")]
+    texts = spark.createDataFrame(rows, "file_name string, part string, body string")
+    tagged = ms.rebuild_text(ms.assign_milestones(texts, 2, TOKENS).withColumn("start", F.lit(0).cast("bigint")))
+    cut = rec.explode_milestones(tagged.select("file_name", "tagged"), body="tagged")
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "lambdafunction" in line and r"[\p{L}]+, 0" in line]
+    assert plan.count("lambdafunction(") == 1 and plan.count(config.MS_TAG + ", 0)") == 1 and plan.count("split(") == 1
+    got = sorted((r.file_name, r.pos, r.ms_label, r.text) for r in cut.collect())
+    assert got == [("a", 1, "ms1", "one two "), ("a", 2, "ms2", " three four "), ("b", 1, "msA1", "five six ")]
