@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spolia import config
 from spolia.functions import text as txt
-from spolia.operators.once import exploded
+from spolia.operators.once import computed_once, exploded
 
 RANGE_CHARS = 1 << 20
 RANGE_BLOCK = 1024
@@ -95,7 +95,8 @@ def cut_ranges(
     `inner`: the piece is a whole milestone, as others of its range stand before and after it.
     """
     numbered = number_ranges(ranges, ms_len, token_class, block)
-    numbered = numbered.withColumn("_cut", cut_range(F.col("piece"), F.col("earlier"), ms_len, token_class)).withColumn(
+    # Cut once: a filter on the array would otherwise repeat the cut in the join below.
+    numbered = computed_once(numbered, {"_cut": cut_range(F.col("piece"), F.col("earlier"), ms_len, token_class)}).withColumn(
         "_count", F.size("_cut")
     )
     rows = exploded(numbered, ["file_name", "pos", "earlier", "_count"], "_cut", "i", "_piece")
@@ -106,11 +107,12 @@ def cut_ranges(
 def milestone_texts(pieces: DataFrame) -> DataFrame:
     """`file_name, n, text` from the pieces of `cut_ranges`.
 
-    Whole milestones pass through; the others are grouped, by milestone: a group is one milestone's text.
+    Pieces are grouped by milestone: a group is one milestone's text.  Whole milestones stay as they are, each a row.  One pass
+    over the pieces, as two would number and cut all ranges twice.
     """
-    whole = pieces.where("inner").select("file_name", "n", F.col("piece").alias("text"))
-    parts = pieces.where("not inner").groupBy("file_name", "n").agg(F.array_sort(F.collect_list(F.struct("pos", "i", "piece"))).alias("_parts"))
-    return whole.union(parts.select("file_name", "n", F.array_join(F.col("_parts.piece"), "").alias("text")))
+    parts = pieces.groupBy("file_name", "n", "inner").agg(F.array_sort(F.collect_list(F.struct("pos", "i", "piece"))).alias("_parts"))
+    texts = F.when(F.col("inner"), F.col("_parts.piece")).otherwise(F.array(F.array_join(F.col("_parts.piece"), "")))
+    return exploded(parts.withColumn("_texts", texts), ["file_name", "n"], "_texts", "_k", "text").drop("_k")
 
 
 def range_widths(ranges: DataFrame, ms_len: int = config.MS_LEN, token_class: str = config.TOKEN_CLASS) -> DataFrame:

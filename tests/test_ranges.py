@@ -96,3 +96,15 @@ def test_no_splitter_expected(spark):
     rows = rg.body_ranges(lines, None).orderBy("file_name", "pos").collect()
     assert [(r.pos, r.piece) for r in rows] == [(0, "\n"), (10, " a b\n"), (11, "\n"), (20, "c")]
     assert rg.milestone_rows(rg.body_ranges(lines.limit(0))).collect() == []
+
+
+def test_ranges_are_cut_once(spark):
+    """The plan has one cut of the ranges; texts that are there twice give their whole milestones twice."""
+    texts = spark.createDataFrame([("a", "one two three four five six seven")] * 2, "file_name string, body string")
+    cut = rg.milestone_texts(rg.cut_ranges(rg.text_ranges(texts, 40), 2, r"\p{L}"))
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\A(") == 1
+    whole = spark.createDataFrame([("a", 0, k, k + 1, t, w) for k, (t, w) in enumerate([("x ", False), ("y ", True), ("y ", True), ("z", False)])],
+                                  "file_name string, pos bigint, i int, n bigint, piece string, inner boolean")
+    whole = whole.withColumn("n", F.when(F.col("n") == 3, 2).otherwise(F.col("n")))
+    assert sorted((r.n, r.text) for r in rg.milestone_texts(whole).collect()) == [(1, "x "), (2, "y "), (2, "y "), (4, "z")]
