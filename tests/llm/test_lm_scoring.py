@@ -146,3 +146,21 @@ def test_long_unbroken_texts_keep_their_cost(spark):
     both = df.union(spark.createDataFrame([(keys[0], long), (keys[1], long[:5_000])], df.schema))
     got = {r.doc_id: r.score for r in L.score(both, PATH, PATTERN).collect()}
     assert got[keys[0]] < 8 * got[keys[1]] < -8 * 305
+
+
+def test_rounds_go_through_every_block(spark):
+    """Each symbol moves its weights, also those that stand in one block of a long shard only."""
+    rng = random.Random(4)
+    words = [f"{chr(0x4E00 + 7 * k)}{rng.choice('abcdefgh')}" for k in range(60)]
+    texts = [(words[k // 10] if k % 10 == 5 else "the of and to in a is that for it",) for k in range(600)]
+    df = spark.createDataFrame(texts, "text string").coalesce(1)
+    size = len(L.read_ranks(PATH))
+    classes = np.append(np.arange(size) % (A.CLASSES - 2), A.CLASSES - 1)
+    shards = L.shards_of(df, [], PATH, PATTERN)
+    seen = []
+    for tokens, lengths, sizes in shards.collect():
+        before = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
+        seen.append(L.symbols_of(classes, np.frombuffer(lengths, np.int32), np.frombuffer(tokens, np.int32), before)[3])
+    seen = np.unique(np.concatenate(seen))
+    moved = L.trained(shards, classes).value != A.first_weights(np.ones((A.SYMBOLS, A.CLASSES))).value
+    assert len(seen) > 40 and moved[seen].any(axis=1).all()
