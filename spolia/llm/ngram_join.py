@@ -3,7 +3,8 @@
 Tokens are hashes of word shingles.  Equal sets enter once with their number.  Two sets of a Jaccard
 similarity of at least NEAR / 100 differ in a bounded number D of tokens, so of D + 1 parts of the tokens (by hash)
 at least one is the same in both; with some more parts at least AGREE are.  The sums of the parts are the columns looked up.  Sets that share a part
-are partitioned into groups around the smallest set that they share one with (at most about GROUP sets each).  A query
+are partitioned into groups around the smallest set that they share one with, or around that set's own (HUB_STEPS times).
+The sets around one of them make groups of about their square root, so the pairs of these groups are about as many as the sets.  A query
 set meets a group only if the groups share AGREE parts and so do the set and the group; of the group those sets are taken that
 share as many with the set's.  There its overlap with the token union of these is counted first, and only groups in which that reaches the least overlap are opened, that is, compared set by set
 over the postings of the union.  Long sets and hot parts are aggregated before they are shuffled; no part's or group's
@@ -25,7 +26,10 @@ from spolia.llm.components import components, roots
 from spolia.llm.shingles import joined, mix, shingle_hashes
 
 SHINGLE, NEAR = 3, 90
-GROUP = 128
+GROUP = 128  # sets that are a group at least; around a hub of n sets GROUP / 2 * sqrt(n)
+GROUP_TOKENS = 1 << 20  # beyond these tokens a group stays at about GROUP sets
+HUB_STEPS = 2
+LINKS = 1 << 20  # pairs of sets that a task holds at once
 PIECE = 1 << 18  # bytes of text that are hashed at once
 TEXT_ROWS, GROUP_ROWS = 500, 2  # rows of an Arrow batch
 AGREE = 3  # parts that two similar sets have in common at least
@@ -180,7 +184,7 @@ def open_group(queries: list[np.ndarray], group: list[np.ndarray], near: int) ->
 
 
 def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: int, counts: bool = True) -> DataFrame:
-    """`rep`, `n` (similar rows with other sets), `low` (a set of the same component) from `rep`, `copies`.
+    """`rep`, `n` (similar rows with other sets), `low` (a set of the same component) from `rep`, `copies`, `size` (tokens).
 
     Without `counts` only the components matter (`n` is incomplete): each group first meets one other, and of the
     remaining pairs of groups those are opened whose sets are not all in one component by then.
@@ -194,10 +198,17 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     hubs = shared.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1").select("part", "hub")
     shared = shared.join(hubs, "part")
     member = shared.groupBy("rep").agg(F.min("hub").alias("hub"), F.count("*").alias("parts")).where(F.col("parts") >= AGREE).drop("parts")
-    number = member.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).alias("splits"))
-    member = member.join(number, "hub")
-    member = member.select("rep", F.xxhash64("hub", F.pmod(F.xxhash64("rep"), "splits")).alias("grp"))
-    member = written(member.join(reps.select("rep", "copies"), "rep"), "members")
+    member = written(member, "hubs")
+    for _ in range(HUB_STEPS):
+        further = member.select(F.col("rep").alias("hub"), F.col("hub").alias("next"))
+        member = member.join(further, "hub", "left").select("rep", F.coalesce("next", "hub").alias("hub"))
+    member = written(member.join(reps.select("rep", "copies", "size"), "rep"), "around")
+    number = member.groupBy("hub").agg(F.count("*").alias("sets"), F.sum("size").alias("tokens"))
+    most = F.ceil(F.col("sets") / GROUP)
+    least = F.ceil(F.col("sets") / F.greatest(F.lit(float(GROUP)), GROUP / 2 * F.sqrt("sets")))
+    splits = F.least(most, F.greatest(least, F.ceil(F.col("tokens") / GROUP_TOKENS)))
+    member = member.join(number.select("hub", splits.alias("splits")), "hub")
+    member = written(member.select("rep", "copies", F.xxhash64("hub", F.pmod(F.xxhash64("rep"), "splits")).alias("grp")), "members")
     placed = written(shared.join(member.select("rep", "grp"), "rep").select("part", "rep", "grp"), "placed")
     columns = placed.select("part", "grp").distinct()
     meet = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp < other")
@@ -216,7 +227,7 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
                 ids = np.array([s["rep"] for side in sides for s in side], np.int64)
                 copies = np.array([s["copies"] for side in sides for s in side], np.int64)
                 sets = [[np.frombuffer(s["tokens"], _U) for s in side] for side in sides]
-                n, a, b = np.zeros(len(ids), np.int64), [], []
+                n, parent, a, b, held = np.zeros(len(ids), np.int64), np.arange(len(ids)), [], [], 0
                 shift = len(one) if paired else 0
                 for q, found in open_group(sets[0], sets[-1], near):
                     found = found + shift
@@ -224,10 +235,14 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
                     n[q] += copies[found].sum()
                     if shift:
                         n[found] += copies[q]
-                    a += [q] * len(found)
-                    b += found.tolist()
+                    a.append(np.full(len(found), q))
+                    b.append(found)
+                    held += len(found)
+                    if held > LINKS:
+                        parent, a, b, held = roots(parent, np.concatenate(a), np.concatenate(b)), [], [], 0
                 if a:
-                    parent = roots(np.arange(len(ids)), np.array(a), np.array(b))
+                    parent = roots(parent, np.concatenate(a), np.concatenate(b))
+                if n.any():
                     low = np.full(len(ids), np.iinfo(np.int64).max)
                     np.minimum.at(low, parent, ids)
                     some = n > 0
@@ -273,9 +288,9 @@ def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int =
     with batch_rows(df.sparkSession, TEXT_ROWS):
         sets = written(sets_of(df, key, shingle), "sets")
     linkable = sets.where("n > 0 and key is not null")
-    of_set = linkable.groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
+    of_set = linkable.groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("size"))
     with batch_rows(df.sparkSession, TEXT_ROWS):
-        linked = linked_sets(df, of_set.select("rep", "copies"), key, shingle, near, counts)
+        linked = linked_sets(df, of_set.select("rep", "copies", "size"), key, shingle, near, counts)
     of_set = of_set.join(linked.groupBy("rep").agg(F.sum("n").alias("others")), "rep", "left")
     named = components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b")))
     of_set = of_set.join(named.withColumnRenamed("node", "rep"), "rep", "left")

@@ -139,3 +139,23 @@ def test_one_of_each_with_a_key_of_many_rows(spark):
     got = [tuple(r) for r in N.one_of_each(df, ("doc_id", "text"), 5, 80).collect()]
     want = [(0, t) for t in texts[:80]] + [(k + 1, t) for k, t in enumerate(texts[80:])]
     assert sorted(got) == sorted(want)
+
+
+def test_rows_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """Pairs of groups grow with the sets of a cluster, not with their square."""
+    monkeypatch.setattr(N, "GROUP", 4)
+    base = [f"w{k}" for k in range(100)]
+    met, written = [], N.written
+
+    def counting(df, name):
+        out = written(df, name)
+        if name == "met":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "written", counting)
+    for n in (36, 144):
+        rows = [(k, " ".join([*base, f"end{k}"])) for k in range(n)]
+        got = N.join(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+        assert sorted((str(r.doc_id), r.n_shingles, r.n_links, str(r.component_id)) for r in got) == brute(rows)
+    assert 0 < met[1] <= 7 * met[0]
