@@ -490,3 +490,18 @@ def test_book_statistics_are_ordered(spark, inputs, tmp_path):
     assert keys == sorted(keys) and len(keys) > 2
     want = brute_stats(rows, True, "inclusive")
     assert {(r._T1, r._T2) for r in got} == {(a[0], b[0]) for a, b in want} or len(got) == len(want)
+
+
+def test_alignments_are_compared_in_arrow(spark, tmp_path):
+    """The input of the alignment queries: compared once in batches, with the matches that the built-in expressions give."""
+    from checks import tables
+    from spolia.functions import align
+
+    texts = ["same first\na b  c\n\nlong line é𝄞 here\n", "same first\na x  c\n\nlong lime é𝄞 there and on", "same first", None, "", "alone"]
+    rows = [(k, t, f"src{k % 3}") for k, t in enumerate(texts * 2)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = tables.alignments(spark, str(tmp_path))
+    assert "ArrowEvalPython" in df._jdf.queryExecution().toString()
+    assert dict(df.dtypes)["matches"] == "int"
+    got = df.select("matches", align.ch_match(F.col("s1"), F.col("s2"), exclude_spaces=False).alias("plain")).collect()
+    assert len(got) > 10 and any(r.matches for r in got) and all(r.matches == r.plain for r in got)
