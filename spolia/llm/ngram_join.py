@@ -27,7 +27,7 @@ from spolia.llm.shingles import joined, mix, shingle_hashes
 
 SHINGLE, NEAR = 3, 90
 GROUP = 128  # sets that are a group at least; around a hub of n sets GROUP / 2 * sqrt(n)
-GROUP_TOKENS = 1 << 20  # beyond these tokens a group stays at about GROUP sets
+GROUP_TOKENS = 1 << 20  # tokens of a group, about, unless GROUP sets have more
 HUB_STEPS = 2
 LINKS = 1 << 20  # pairs of sets that a task holds at once
 PIECE = 1 << 18  # bytes of text that are hashed at once
