@@ -164,3 +164,49 @@ def test_rounds_go_through_every_block(spark):
     seen = np.unique(np.concatenate(seen))
     moved = L.trained(shards, classes).value != A.first_weights(np.ones((A.SYMBOLS, A.CLASSES))).value
     assert len(seen) > 40 and moved[seen].any(axis=1).all()
+
+
+def test_texts_are_encoded_and_attended_once(spark, tmp_path):
+    """The scores come from the stored probabilities of words: the texts are not read again."""
+    spark.createDataFrame(corpus(40, 6), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents"))
+    got = L.score(spark.read.parquet(str(tmp_path / "documents")), PATH, PATTERN)
+    files = got.inputFiles()
+    assert files and not any("/documents/" in f for f in files)
+    assert got.count() == 40
+
+
+def test_stored_shards_leave_out_what_frequent_words_tell(spark):
+    rows = [*corpus(50, 7), (None, None), (900, "Ünseen wordß　x twice twice")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    words = sorted({w for _, t in rows[:20] for w in L.word_list(t)})
+    known = (words, *L.split_words(words, PATH, PATTERN))
+    shared = spark.sparkContext.broadcast(known)
+    narrow, whole = (L.encoded(df, known, PATH, PATTERN, whole).toArrow().combine_chunks().to_batches()[0] for whole in (False, True))
+    assert narrow.num_rows == 2 and narrow.select(["learned", "keys", "sizes", "at", "others"]) == whole.select(["learned", "keys", "sizes", "at", "others"])
+    texts = {k: t or "" for k, t in rows}
+    for row, (lengths, tokens, before), (all_lengths, all_tokens, _) in zip(narrow.to_pylist(), L.shard_arrays(narrow, shared), L.shard_arrays(whole, None), strict=True):
+        want = [L.word_list(texts[k]) for k in row["keys"]]
+        ids, sizes = L.split_words([w for ws in want for w in ws], PATH, PATTERN)
+        assert tokens.tolist() == all_tokens.tolist() == ids.tolist() and lengths.tolist() == all_lengths.tolist() == sizes.tolist()
+        assert np.diff(before).tolist() == [len(ws) for ws in want]
+        assert row["others"] == [w for ws in want for w in ws if w not in words] and len(row["tokens"]) < ids.nbytes
+
+
+@pytest.mark.parametrize("far", [1.0, 40.0])
+def test_gradients_by_classes_in_pieces(far):
+    """Against whole matrices, over more symbols than a piece has, also with logits whose exponentials do not fit."""
+    rng = np.random.default_rng(9)
+    shape, n = (A.SYMBOLS, A.WIDTH), 2 * A.PIECE + 37
+    w = A.Weights(*[rng.normal(0, 0.3, s) for s in (shape, shape, shape, (2 * A.STRIDE,), (A.WIDTH, A.CLASSES))], far * rng.normal(0, 1, (A.SYMBOLS, A.CLASSES)))
+    flat, own = rng.normal(0, 0.3, (n, A.WIDTH)), rng.integers(0, 40, n)
+    targets, weight = rng.integers(0, A.CLASSES, n), rng.random(n)
+    logits = flat @ w.out + w.table[own]
+    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(n), targets] -= 1
+    p *= weight[:, None]
+    table = np.zeros_like(w.table)
+    for k in range(n):
+        table[own[k]] += p[k]
+    for got, want in zip(A._output_gradients(w, flat, own, targets, weight), (p @ w.out.T, flat.T @ p, table), strict=True):
+        assert np.allclose(got, want, atol=1e-9)
