@@ -6,22 +6,25 @@ at least one is the same in both; with some more parts at least AGREE are.  The
 are partitioned into groups around the smallest set that they share one with, or around that set's own (HUB_STEPS times).
 The sets around one of them make groups of about their square root, so the pairs of these groups are about as many as the sets.  A query
 set meets a group only if the groups share AGREE parts and so do the set and the group; of the group those sets are taken that
-share as many with the set's.  There its overlap with the token union of these is counted first, and only groups in which that reaches the least overlap are opened, that is, compared set by set
+share as many with the set's.  There the sets first meet as sketches, some bits a token, whose differing bits are no more than the differing tokens;
+tokens follow of those sets only that may be similar to another by these, in rounds of a bounded share of all tokens.
+A query's overlap with the token union of a group's is counted next, and only groups in which that reaches the least overlap are opened, that is, compared set by set
 over the postings of the union.  Long sets and hot parts are aggregated before they are shuffled; no part's or group's
-pairs are ever listed as rows, only groups are paired.
+pairs are ever listed as rows, only groups are paired.  Tables go as soon as no later job reads them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spolia.llm.common import WORD, batch_rows, filled, map_arrow, slices, written
+from spolia.llm.common import WORD, batch_rows, discard, filled, flat_bytes, map_arrow, slices, written
 from spolia.llm.components import components, roots
 from spolia.llm.shingles import joined, mix, shingle_hashes
 
@@ -31,7 +34,8 @@ GROUP_TOKENS = 1 << 20  # tokens of a group, about, unless GROUP sets have more
 HUB_STEPS = 2
 LINKS = 1 << 20  # pairs of sets that a task holds at once
 PIECE = 1 << 18  # bytes of text that are hashed at once
-TEXT_ROWS, GROUP_ROWS = 500, 2  # rows of an Arrow batch
+TEXT_ROWS, GROUP_ROWS, SKETCH_ROWS = 500, 2, 16  # rows of an Arrow batch
+ROUND_SHARE = 0.25  # of the tokens of all sets: what a round of opened groups moves, about
 AGREE = 3  # parts that two similar sets have in common at least
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter that spares texts without candidates the shuffle; fixed size
 
@@ -147,7 +151,8 @@ def part_rows(df: DataFrame, key: str, reps: DataFrame, shingle: int, near: int)
     def work(keys: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
         parts = [parts_of(s, near) if len(s) else np.zeros(0, _U) for s in sets]
         owners = np.repeat(keys.to_numpy(), [len(p) for p in parts])
-        return pa.record_batch([pa.array(np.concatenate(parts).view(np.int64)), pa.array(owners)], ["part", "rep"])
+        marks = np.concatenate(parts) >> _U(16)  # enough to tell parts apart, and 48 bits take less of a shuffle
+        return pa.record_batch([pa.array(marks.view(np.int64)), pa.array(owners)], ["part", "rep"])
 
     return likely(df, key, reps, shingle, work, "part bigint, rep bigint")
 
@@ -161,6 +166,65 @@ def candidate_tokens(df: DataFrame, key: str, reps: DataFrame, shingle: int) ->
     return likely(df, key, reps, shingle, work, "key bigint, tokens binary")
 
 
+def sketch_of(tokens: np.ndarray) -> np.ndarray:
+    """A hash of the set, then two to four bits a token: which of so many parts of the set have an odd number of tokens.
+
+    A token more or less turns one bit, so two sets of the same number of bits differ in at least as many tokens as bits.
+    """
+    bits = max(64, 1 << int(2 * len(tokens) - 1).bit_length())
+    part = (mix(tokens ^ _U(0x3B)) & _U(bits - 1)).astype(np.int64)
+    odd = np.packbits((np.bincount(part, minlength=bits) & 1).astype(np.uint8), bitorder="little").view(_U)
+    return np.concatenate([mix(tokens ^ _U(0xC5)).sum(dtype=_U)[None], odd])
+
+
+def folded(odd: np.ndarray, words: int) -> np.ndarray:
+    """The same bits for a smaller number of parts (a power of two)."""
+    while odd.shape[-1] > words:
+        half = odd.shape[-1] // 2
+        odd = odd[..., :half] ^ odd[..., half:]
+    return odd
+
+
+def maybe_similar(sizes: np.ndarray, odd: list[np.ndarray], side: np.ndarray, paired: bool, near: int) -> np.ndarray:
+    """Marks the sets that may be similar to another one, of the other side if `paired`; those that are not are similar to none."""
+    marked = np.zeros(len(sizes), bool)
+    words = np.array([len(x) for x in odd])
+    stacks = {}
+    for of in np.unique(side):
+        for w in np.unique(words[side == of]):
+            at = np.flatnonzero((side == of) & (words == w))
+            at = at[np.argsort(sizes[at], kind="stable")]
+            stacks[of, w] = at, sizes[at], {w: np.stack([odd[k] for k in at])}
+    for q, size in enumerate(sizes):
+        if marked[q]:
+            continue
+        for (of, w), (at, of_size, bits) in stacks.items():
+            if paired and of == side[q]:
+                continue
+            a, b = np.searchsorted(of_size, [-(-size * near // 100), size * 100 // near + 1])
+            if a == b:
+                continue
+            least = min(w, words[q])
+            if least not in bits:
+                bits[least] = folded(bits[w], least)
+            apart = np.bitwise_count(bits[least][a:b] ^ folded(odd[q], least)).sum(axis=1, dtype=np.int64)
+            found = at[a:b][apart * (100 + near) <= (size + of_size[a:b]) * (100 - near)]
+            found = found[found != q]
+            marked[found] = True
+            marked[q] |= len(found) > 0
+    return marked
+
+
+def candidate_sketches(df: DataFrame, key: str, reps: DataFrame, shingle: int) -> DataFrame:
+    """`key`, `size`, `sketch` of the rows whose key is in `reps` and of some others."""
+
+    def work(keys: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        sketches = pa.array([sketch_of(s).tobytes() for s in sets], pa.binary())
+        return pa.record_batch([keys, pa.array([len(s) for s in sets], pa.int64()), sketches], ["key", "size", "sketch"])
+
+    return likely(df, key, reps, shingle, work, "key bigint, size bigint, sketch binary")
+
+
 def open_group(queries: list[np.ndarray], group: list[np.ndarray], near: int) -> Iterator[tuple[int, np.ndarray]]:
     """For every query whose overlap with the group's token union is large enough, the members similar to it."""
     flat = np.concatenate(group)
@@ -190,13 +254,9 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     remaining pairs of groups those are opened whose sets are not all in one component by then.
     """
     parts = part_rows(df, key, reps, shingle, near).repartition("part")
-    shared = parts.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1")
-    shared = written(parts.join(shared.select("part", "hub"), "part"), "parts")
+    hubs = parts.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1")
+    shared = written(parts.join(hubs.select("part", "hub"), "part"), "parts")
     # A set that shares fewer parts than AGREE with all others together is similar to none.
-    enough = shared.groupBy("rep").agg(F.count("*").alias("parts")).where(F.col("parts") >= AGREE).select("rep")
-    shared = written(shared.join(enough, "rep").select("rep", "part"), "shared")
-    hubs = shared.groupBy("part").agg(F.min("rep").alias("hub"), F.count("*").alias("sets")).where("sets > 1").select("part", "hub")
-    shared = shared.join(hubs, "part")
     member = shared.groupBy("rep").agg(F.min("hub").alias("hub"), F.count("*").alias("parts")).where(F.col("parts") >= AGREE).drop("parts")
     member = written(member, "hubs")
     for _ in range(HUB_STEPS):
@@ -210,11 +270,25 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     member = member.join(number.select("hub", splits.alias("splits")), "hub")
     member = written(member.select("rep", "copies", F.xxhash64("hub", F.pmod(F.xxhash64("rep"), "splits")).alias("grp")), "members")
     placed = written(shared.join(member.select("rep", "grp"), "rep").select("part", "rep", "grp"), "placed")
+    discard(shared)
     columns = placed.select("part", "grp").distinct()
     meet = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp < other")
     pairs = meet.groupBy("grp", "other").agg(F.count("*").alias("agree")).where(F.col("agree") >= AGREE).select("grp", "other")
-    tokens = member.join(candidate_tokens(df, key, member, shingle), F.col("rep") == F.col("key"))
-    tokens = written(tokens.select("rep", "copies", "tokens"), "tokens")
+    sketches = member.join(candidate_sketches(df, key, member, shingle), F.col("rep") == F.col("key"))
+    sketches = written(sketches.select("rep", "copies", "size", "sketch"), "sketches")
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["grp", "other", "side", "rep", "size"]
+        for batch in batches:
+            for k in range(batch.num_rows):
+                sets = batch.column(2)[k].values
+                side, rep, size = (sets.field(c).to_numpy() for c in ("side", "rep", "size"))
+                flat, at = flat_bytes(sets.field("sketch"))
+                odd = [flat[a + 8 : b].copy().view(_U) for a, b in zip(at, at[1:], strict=False)]
+                marked = np.flatnonzero(maybe_similar(size, odd, side, batch.column(1)[k].is_valid, near))
+                if len(marked):
+                    ends = [pa.array([batch.column(c)[k].as_py()] * len(marked), pa.int64()) for c in (0, 1)]
+                    yield pa.record_batch([*ends, *[pa.array(x[marked]) for x in (side, rep, size)]], names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,27 +329,42 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
         sets = sides[0].union(sides[1]).join(placed.select("part", "rep", F.col("grp").alias("own")), ["part", "own"])
         return sets.groupBy("grp", "other", "side", "rep").agg(F.count("*").alias("agree")).where(F.col("agree") >= AGREE).drop("agree")
 
-    def opened(pairs: DataFrame, alone: bool) -> DataFrame:
-        chosen = queries(pairs)
-        if alone:
-            several = member.groupBy("grp").count().where("count > 1").select("grp")
-            chosen = chosen.union(member.join(several, "grp").select("grp", F.lit(None).cast("bigint"), F.lit(0), "rep"))
-        boxes = chosen.join(tokens, "rep").groupBy("grp", "other")
-        boxes = boxes.agg(F.collect_set(F.struct("side", "rep", "copies", "tokens")).alias("sets")).select("other", "sets")
-        with batch_rows(df.sparkSession, GROUP_ROWS):
-            return written(boxes.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked")
+    chosen = queries(pairs)
+    several = member.groupBy("grp").count().where("count > 1").select("grp")
+    chosen = chosen.union(member.join(several, "grp").select("grp", F.lit(None).cast("bigint"), F.lit(0), "rep"))
+    boxes = chosen.join(sketches, "rep").groupBy("grp", "other")
+    boxes = boxes.agg(F.collect_set(F.struct("side", "rep", "copies", "size", "sketch")).alias("sets")).select("grp", "other", "sets")
+    with batch_rows(df.sparkSession, SKETCH_ROWS):
+        kept = boxes.mapInArrow(sieve, "grp bigint, other bigint, side int, rep bigint, size bigint")
+        kept = written(kept.groupBy("grp", "other", "side", "rep").agg(F.max("size").alias("size")), "kept")
+    discard(placed, sketches)
+
+    def opened(chosen: DataFrame) -> DataFrame:
+        chosen = written(chosen, "chosen")
+        moved, whole = (t.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for t in (chosen, reps))
+        rounds = max(1, math.ceil(moved / max(1, ROUND_SHARE * whole)))
+        linked = []
+        for k in range(rounds):
+            now = chosen.where(F.pmod(F.xxhash64("grp", "other"), F.lit(rounds)) == k)
+            rows = now.join(member.select("rep", "copies"), "rep")
+            rows = rows.join(candidate_tokens(df, key, now, shingle), F.col("rep") == F.col("key"))
+            boxes = rows.groupBy("grp", "other").agg(F.collect_set(F.struct("side", "rep", "copies", "tokens")).alias("sets")).select("other", "sets")
+            with batch_rows(df.sparkSession, GROUP_ROWS):
+                linked.append(written(boxes.mapInArrow(work, "rep bigint, n bigint, low bigint"), "linked"))
+        return reduce(DataFrame.union, linked)
 
     if counts:
-        return opened(pairs, alone=True)
-    pairs = written(pairs, "pairs")
-    first = pairs.groupBy("other").agg(F.min("grp").alias("grp"))
-    linked = opened(first.select("grp", "other"), alone=True)
+        return opened(kept)
+    pairs = kept.where("other is not null").select("grp", "other").distinct()
+    first = written(pairs.groupBy("other").agg(F.min("grp").alias("grp")), "first")
+    linked = opened(kept.join(first, ["grp", "other"], "left_semi").union(kept.where("other is null")))
     named = components(linked.select(F.col("rep").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "rep")
-    member = member.join(named, "rep", "left").select("grp", F.coalesce("component", "rep").alias("component"))
-    inside = written(member.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "inside")
+    member_of = member.join(named, "rep", "left").select("grp", F.coalesce("component", "rep").alias("component"))
+    inside = written(member_of.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "inside")
     rest = pairs.join(first.withColumnRenamed("grp", "done"), "other").where("grp <> done")
     rest = rest.join(inside, "grp").join(inside.select(F.col("grp").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2")), "other")
-    return linked.union(opened(rest.where("lo <> hi or lo2 <> hi2 or lo <> lo2").select("grp", "other"), alone=False))
+    rest = rest.where("lo <> hi or lo2 <> hi2 or lo <> lo2").select("grp", "other")
+    return linked.union(opened(kept.join(rest, ["grp", "other"], "left_semi")))
 
 
 def join(df: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, near: int = NEAR, counts: bool = True) -> DataFrame:

@@ -1,10 +1,14 @@
+import os
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from spolia.llm import common
+from spolia.llm import components as components_of
 from spolia.llm import ngram_join as N
+from spolia.llm.common import discard, written
 from spolia.llm.components import components
 
 
@@ -159,3 +163,81 @@ def test_rows_of_a_large_group_of_near_copies(spark, monkeypatch):
         got = N.join(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
         assert sorted((str(r.doc_id), r.n_shingles, r.n_links, str(r.component_id)) for r in got) == brute(rows)
     assert 0 < met[1] <= 7 * met[0]
+
+
+def similar(a, b, near):
+    both = len(np.intersect1d(a, b))
+    return 100 * both >= near * (len(a) + len(b) - both)
+
+
+@pytest.mark.parametrize("near", [50, 80, 90])
+def test_sketches_lose_no_similar_set(near):
+    """What sketches rule out is similar to no other set, whatever the sizes; most unlike sets are ruled out."""
+    rng = np.random.default_rng(near)
+    sets = [np.zeros(0, np.uint64)]
+    for size in (1, 2, 7, 31, 33, 60, 64, 70, 500, 1100):
+        for _ in range(3):
+            base = rng.integers(0, 1 << 63, size).astype(np.uint64)
+            for share in (1.0, 0.98, near / 100 + 0.02, 0.75, 0.4):
+                sets.append(np.unique(np.concatenate([base[: round(share * size)], rng.integers(0, 1 << 63, rng.integers(0, 2 + size // 9)).astype(np.uint64)])))
+    sets = [sets[k] for k in rng.permutation(len(sets))]
+    sizes, odd = np.array([len(s) for s in sets]), [N.sketch_of(s)[1:] for s in sets]
+    side = rng.integers(0, 2, len(sets))
+    for paired in (False, True):
+        marked = N.maybe_similar(sizes, odd, side if paired else np.zeros(len(sets), int), paired, near)
+        true = np.array([any(j != k and (not paired or side[j] != side[k]) and similar(sets[j], sets[k], near) for j in range(len(sets))) for k in range(len(sets))])
+        assert not (true & ~marked).any()
+    unlike = [rng.integers(0, 1 << 63, 300).astype(np.uint64) for _ in range(40)]
+    unlike = [np.unique(np.concatenate([u, unlike[0][:150]])) for u in unlike[1:]]  # a third in common
+    assert not N.maybe_similar(np.array([450] * 39), [N.sketch_of(u)[1:] for u in unlike], np.zeros(39, int), False, near).any()
+
+
+def test_disk_of_texts_with_a_common_passage(spark, monkeypatch, tmp_path):
+    """Texts that share parts without being similar leave neither tokens nor parts on disk; near copies among them are found."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    passage = [word() for _ in range(800)]
+    rows = [(k, " ".join(passage + [word() for _ in range(1200)])) for k in range(150)]
+    rows += [(200, rows[7][1] + " end"), (201, rows[9][1] + " end")]
+    names = []
+
+    def counting(df, name):
+        out = written(df, name)
+        names.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(N, "written", counting)
+    monkeypatch.setattr(components_of, "written", counting)
+    monkeypatch.setattr(common, "shared_folder", lambda _, name: f"{tmp_path}/a b/{name}-{len(names)}")
+    got = N.join(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), shingle=5, near=80).collect()
+    left = sum(f.stat().st_size for f in tmp_path.rglob("*") if f.is_file())
+    assert {r.doc_id: r.component_id for r in got if r.n_links} == {7: 7, 200: 7, 9: 9, 201: 9}
+    assert left < 0.2 * sum(len(t) for _, t in rows)  # 1.5 times with tables of parts and tokens
+    assert dict(names)["members"] > 100 and dict(names)["kept"] == 4
+
+
+def test_rounds_of_groups(spark, monkeypatch):
+    """Groups opened in many rounds give the same links as all at once."""
+    monkeypatch.setattr(N, "GROUP", 3)
+    monkeypatch.setattr(N, "ROUND_SHARE", 0.4)
+    base = [f"w{k}" for k in range(60)]
+    rows = corpus(5, 40) + [(1000 + k, " ".join([*base, f"end{k}"])) for k in range(14)]
+    names = []
+    monkeypatch.setattr(N, "written", lambda df, name: names.append(name) or written(df, name))
+    got = N.join(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2), shingle=5, near=80).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, r.n_links, str(r.component_id)) for r in got) == brute(rows, 80, 5)
+    assert names.count("linked") > 1
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    def files():
+        every = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {every.apply(k).getName() for k in range(every.size()) if every.apply(k).getName().startswith("shuffle_")}
+
+    before = files()
+    out = written(spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert not files() - before
+    file = out.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(file)
+    discard(out)
+    assert not os.path.exists(os.path.dirname(file))
