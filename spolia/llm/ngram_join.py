@@ -36,6 +36,7 @@ LINKS = 1 << 20  # pairs of sets that a task holds at once
 PIECE = 1 << 18  # bytes of text that are hashed at once
 TEXT_ROWS, GROUP_ROWS, SKETCH_ROWS = 500, 2, 16  # rows of an Arrow batch
 ROUND_SHARE = 0.25  # of the tokens of all sets: what a round of opened groups moves, about
+PASS_SHARE = 0.125  # part rows that are placed at once, as a share of the tokens of all sets
 AGREE = 3  # parts that two similar sets have in common at least
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter that spares texts without candidates the shuffle; fixed size
 
@@ -269,7 +270,18 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     splits = F.least(most, F.greatest(least, F.ceil(F.col("tokens") / GROUP_TOKENS)))
     member = member.join(number.select("hub", splits.alias("splits")), "hub")
     member = written(member.select("rep", "copies", F.xxhash64("hub", F.pmod(F.xxhash64("rep"), "splits")).alias("grp")), "members")
-    placed = written(shared.join(member.select("rep", "grp"), "rep").select("part", "rep", "grp"), "placed")
+    whole = reps.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    passes = max(1, math.ceil(shared.count() / max(1, PASS_SHARE * whole)))
+
+    def placed_in(k: int) -> DataFrame:
+        """Parts that several groups have, of one pass; only these make groups meet."""
+        rows = shared.where(F.pmod("part", F.lit(passes)) == k).join(member.select("rep", "grp"), "rep")
+        rows = rows.select("part", "rep", "grp").repartition("part")
+        several = rows.groupBy("part").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi").select("part")
+        return written(rows.join(several, "part"), "placed")
+
+    places = [placed_in(k) for k in range(passes)]
+    placed = reduce(DataFrame.union, places)
     discard(shared)
     columns = placed.select("part", "grp").distinct()
     meet = columns.join(columns.select("part", F.col("grp").alias("other")), "part").where("grp < other")
@@ -337,11 +349,11 @@ def linked_sets(df: DataFrame, reps: DataFrame, key: str, shingle: int, near: in
     with batch_rows(df.sparkSession, SKETCH_ROWS):
         kept = boxes.mapInArrow(sieve, "grp bigint, other bigint, side int, rep bigint, size bigint")
         kept = written(kept.groupBy("grp", "other", "side", "rep").agg(F.max("size").alias("size")), "kept")
-    discard(placed, sketches)
+    discard(*places, sketches)
 
     def opened(chosen: DataFrame) -> DataFrame:
         chosen = written(chosen, "chosen")
-        moved, whole = (t.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for t in (chosen, reps))
+        moved = chosen.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         rounds = max(1, math.ceil(moved / max(1, ROUND_SHARE * whole)))
         linked = []
         for k in range(rounds):

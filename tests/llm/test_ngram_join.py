@@ -217,16 +217,17 @@ def test_disk_of_texts_with_a_common_passage(spark, monkeypatch, tmp_path):
 
 
 def test_rounds_of_groups(spark, monkeypatch):
-    """Groups opened in many rounds give the same links as all at once."""
+    """Parts placed in several passes and groups opened in many rounds give the same links as all at once."""
     monkeypatch.setattr(N, "GROUP", 3)
     monkeypatch.setattr(N, "ROUND_SHARE", 0.4)
+    monkeypatch.setattr(N, "PASS_SHARE", 0.3)
     base = [f"w{k}" for k in range(60)]
     rows = corpus(5, 40) + [(1000 + k, " ".join([*base, f"end{k}"])) for k in range(14)]
     names = []
     monkeypatch.setattr(N, "written", lambda df, name: names.append(name) or written(df, name))
     got = N.join(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2), shingle=5, near=80).collect()
     assert sorted((str(r.doc_id), r.n_shingles, r.n_links, str(r.component_id)) for r in got) == brute(rows, 80, 5)
-    assert names.count("linked") > 1
+    assert names.count("placed") > 1 and names.count("linked") > 1
 
 
 def test_written_leaves_no_shuffle_files(spark):
